@@ -20,13 +20,16 @@ from .deadletters import COUNTED, MAPPER_ERROR, PARENT_REJECTED, SCHEMA_MISMATCH
 
 ORDERS_TABLE, ITEMS_TABLE = "dw.ods_orders", "dw.ods_order_items"
 
-# Scalars are read as text so that "5" and 5 are the same id; the flag and the items keep
-# their JSON form.  Unknown message fields stay available in the original text.
+# Scalars are read as text so that "5" and 5 are the same id; the flag keeps its JSON form.
+# Items are read twice: as text, kept as the original, and by their known fields.
 KEY_FIELDS = "shop_id string, order_id string, updated_at string"
 FEED_FIELDS = (
     "shop_id string, order_id string, status string, buyer_nick string, order_amount string, "
     "payment_amount string, refund_amount string, created_at string, updated_at string, "
-    "is_deleted variant, items array<variant>, broken string"
+    "is_deleted variant, items array<string>, broken string"
+)
+ITEM_FIELDS = (
+    "items array<struct<item_id: string, product_id: string, product_name: string, quantity: string, price: string>>"
 )
 ORDER_COLUMNS = [
     "shop_id", "order_id", "platform", "order_status", "buyer_nick", "order_amount_cents",
@@ -97,26 +100,28 @@ def _flag(json_value: Column) -> Column:
     return F.when(empty, 0).otherwise(1)
 
 
-def _typed_item(item: Column, batch_id: str) -> Column:
-    def text(name: str) -> Column:
-        return F.try_variant_get(item, f"$.{name}", "string")
-
-    quantity = F.coalesce(F.nullif(text("quantity"), F.lit("")), F.lit("0"))
+def _typed_item(fields: Column, position: Column, batch_id: str) -> Column:
     return F.struct(
         F.col("_shop").alias("shop_id"),
         F.col("order_id").alias("order_id"),
-        text("item_id").alias("item_id"),
+        fields["item_id"].alias("item_id"),
         F.col("platform").alias("platform"),
-        _or_default(text("product_id")).alias("product_id"),
-        _or_default(text("product_name")).alias("product_name"),
-        quantity.try_cast("decimal(20,6)").try_cast("int").alias("quantity"),
-        to_cents(text("price")).alias("price_cents"),
-        F.to_json(item).alias("raw_json"),
+        _or_default(fields["product_id"]).alias("product_id"),
+        _or_default(fields["product_name"]).alias("product_name"),
+        _quantity(fields["quantity"]).alias("quantity"),
+        to_cents(fields["price"]).alias("price_cents"),
+        F.get("items", position).alias("raw_json"),
         F.col("_updated").alias("updated_at"),
         F.lit(batch_id).alias("etl_batch_id"),
     )
 
 
+def _quantity(text: Column) -> Column:
+    """Whole number, truncated; absent or empty is 0, anything unreadable NULL."""
+    number = text.try_cast("decimal(20,6)").try_cast("int")
+    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0)).otherwise(number)
+
+
 def map_messages(messages: DataFrame, batch_id: str) -> DataFrame:
     """Full parse and typing of each message.
 
@@ -125,7 +130,7 @@ def map_messages(messages: DataFrame, batch_id: str) -> DataFrame:
     error of all items of its order; an order may have no items.
     """
     parsed = messages.withColumnRenamed("shop_id", "counted_shop").select(
-        "platform", "counted_shop", "copies", "value",
+        "platform", "counted_shop", "copies", "value", F.from_json("value", ITEM_FIELDS)["items"].alias("lines"),
         F.inline(F.array(F.from_json("value", FEED_FIELDS, {"columnNameOfCorruptRecord": "broken"}))),
     )
     typed = parsed.withColumns(
@@ -143,7 +148,7 @@ def map_messages(messages: DataFrame, batch_id: str) -> DataFrame:
             "_refund": F.when(F.col("_refund_text").isNull(), F.lit(0).cast("bigint")).otherwise(
                 to_cents(F.col("_refund_text"))
             ),
-            "item_rows": F.transform("items", lambda item: _typed_item(item, batch_id)),
+            "item_rows": F.transform("lines", lambda line, i: _typed_item(line, i, batch_id)),
         }
     )
     key_errors = [
@@ -166,7 +171,11 @@ def map_messages(messages: DataFrame, batch_id: str) -> DataFrame:
     item_error = join_messages(
         *key_errors,
         time_error,
-        F.when(F.col("broken").isNotNull() & ~F.col("_unreadable"), F.lit("items: not a list of objects")),
+        F.when(
+            (F.col("broken").isNotNull() & ~F.col("_unreadable"))
+            | (F.col("items").isNotNull() & (F.col("lines").isNull() | F.exists("lines", lambda x: x.isNull()))),
+            F.lit("items: not a list of objects"),
+        ),
         F.when(F.coalesce(bad_item, F.lit(False)), F.lit("items: an item lacks its id or has an invalid number")),
     )
     order_row = F.struct(
