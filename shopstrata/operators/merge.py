@@ -100,17 +100,23 @@ def overwrite_window(
     *,
     shop_id: int | None = None,
     platform: str | None = None,
+    scope: DataFrame | None = None,
 ) -> DataFrame:
-    """Drop every existing row of ``[since, end]`` (optionally of one shop, platform), add ``fresh``.
+    """Drop every existing row of ``[since, end]``, add ``fresh``.
 
-    Rows of the window that nothing replaces disappear as well.
+    The drop can be limited to one shop, one platform, or to the keys in ``scope`` (all of
+    its columns).  Rows of the window that nothing replaces disappear as well.
     """
     stale = F.col(date_col).between(F.lit(since), F.lit(end))
     if shop_id is not None:
         stale &= F.col("shop_id") == shop_id
     if platform is not None:
         stale &= F.col("platform") == platform
-    return existing.where(~F.coalesce(stale, F.lit(False))).unionByName(fresh.select(*existing.columns))
+    stale = F.coalesce(stale, F.lit(False))
+    kept = existing.where(~stale)
+    if scope is not None:
+        kept = kept.unionByName(existing.where(stale).join(scope, scope.columns, "left_anti").select(*existing.columns))
+    return kept.unionByName(fresh.select(*existing.columns))
 
 
 def refresh_columns(existing: DataFrame, incoming: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -105,7 +105,7 @@ def load_errors(errors: DataFrame, batches: DataFrame, now: datetime) -> DataFra
     """
     per_batch = errors.groupBy("batch_id").agg(F.count(F.lit(1)).alias("_n"))
     recent = _recent(batches, "started_at", now).select("batch_id")
-    return per_batch.join(recent, "batch_id").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("load_errors"))
+    return per_batch.join(recent, "batch_id", "left_semi").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("load_errors"))
 
 
 def watermark_age(state: DataFrame, now: datetime) -> DataFrame:

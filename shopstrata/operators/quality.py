@@ -167,15 +167,23 @@ def _table_scope(df: DataFrame, rules: Sequence[_ScopeRule]) -> DataFrame:
     return _explode_verdicts(nobody, rules)
 
 
-def _window_scope(df: DataFrame, rules: Sequence[_ScopeRule], windows: DataFrame) -> DataFrame:
-    """One pass over the rows of every shop's window; shops without rows still get verdicts."""
+def _window_scope(
+    df: DataFrame, rules: Sequence[_ScopeRule], windows: DataFrame, bounds: tuple[datetime, datetime] | None
+) -> DataFrame:
+    """One pass over the rows of every shop's window; shops without rows still get verdicts.
+
+    ``bounds`` are the outermost window limits: as literals they reach the scan, where
+    files of other periods are skipped by their statistics.
+    """
     spans = windows.select("shop_id", "platform", "window_start", "window_end")
     used = {c for r in rules for c in r.rule.params.values() if isinstance(c, str) and c in df.columns}
     needed = sorted({"shop_id", "platform", "updated_at"} | used)
     inside = (F.col("updated_at") >= F.col("window_start")) & (F.col("updated_at") < F.col("window_end"))
+    rows = df.select(*needed)
+    if bounds is not None:
+        rows = rows.where((F.col("updated_at") >= wall(bounds[0])) & (F.col("updated_at") < wall(bounds[1])))
     per_shop = (
-        df.select(*needed)
-        .join(spans, ["shop_id", "platform"])
+        rows.join(spans, ["shop_id", "platform"])
         .where(inside)
         .groupBy("shop_id", "platform")
         .agg(*[a for r in rules for a in r.aggregates])
@@ -300,6 +308,7 @@ def run_checks(
     ledger: DataFrame | None = None,
     batch_rows: DataFrame | None = None,
     run_type: str = "incremental",
+    bounds: tuple[datetime, datetime] | None = None,
 ) -> DataFrame:
     """Verdicts of all rules.
 
@@ -331,7 +340,7 @@ def run_checks(
         if scope == "table":
             parts.append(_table_scope(tables[table], members))
         else:
-            parts.append(_window_scope(tables[table], members, windows))
+            parts.append(_window_scope(tables[table], members, windows, bounds))
     if not parts:
         raise ValueError("no rules to run")
     return reduce(DataFrame.unionByName, parts)
