@@ -14,16 +14,19 @@ SALTS = 64
 
 def join_lookup(
     big: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by: str, how: str = "inner",
-    *, max_rows: int = BROADCAST_ROWS, salts: int = SALTS,
+    *, max_rows: int = BROADCAST_ROWS, salts: int = SALTS, rows: int | None = None,
 ) -> DataFrame:
     """Join ``big`` with one lookup row per key (``how``: inner, left, left_semi or left_anti).
 
-    The lookup is counted first.  A small one is broadcast.  A larger one is copied ``salts``
-    times and matched on (key, salt), so that a key holding a large part of ``big`` is spread
-    over ``salts`` tasks by the hash of ``spread_by``.
+    The lookup is counted first, unless its ``rows`` are known.  A small one is broadcast.  A
+    larger one is copied ``salts`` times and matched on (key, salt), so that a key holding a
+    large part of ``big`` is spread over ``salts`` tasks by the hash of ``spread_by``.  With
+    one salt it is an ordinary shuffled join.
     """
-    if lookup.limit(max_rows + 1).count() <= max_rows:
+    if (lookup.limit(max_rows + 1).count() if rows is None else rows) <= max_rows:
         return big.join(F.broadcast(lookup), list(on), how)
+    if salts <= 1:
+        return big.join(lookup, list(on), how)
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -14,10 +14,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACTION = "merge_action"
+#: Hash of the key, put in front of the key wherever rows are partitioned or sorted by it: one
+#: 8-byte comparison then decides almost every sort step, whatever the key looks like.
+KEY_HASH = "_key_hash"
 
 
 def latest_by_key(
-    df: DataFrame, keys: Sequence[str], ts: str = "updated_at", tie_break: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], ts: str = "updated_at", tie_break: Sequence[str] = (),
+    *, keep_hash: bool = False,
 ) -> DataFrame:
     """One row per key: the newest ``ts``; a missing time loses to any time.
 
@@ -28,8 +32,10 @@ def latest_by_key(
     order = [F.col(c).desc_nulls_last() for c in (ts, *tie_break)]
     if rest:
         order.append(F.xxhash64(*rest).desc())
-    newest = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_nth", F.row_number().over(newest)).where("_nth = 1").drop("_nth")
+    newest = Window.partitionBy(KEY_HASH, *keys).orderBy(*order)
+    hashed = df.withColumn(KEY_HASH, F.xxhash64(*keys))
+    best = hashed.withColumn("_nth", F.row_number().over(newest)).where("_nth = 1").drop("_nth")
+    return best if keep_hash else best.drop(KEY_HASH)
 
 
 def _require_values(columns: Sequence[str], keys: Sequence[str]) -> list[str]:
@@ -59,16 +65,20 @@ def merge_monotonic(
     (an incoming row was not newer) or ``kept`` (no incoming row).
     """
     values = _require_values(existing.columns, keys)
-    types = dict(zip(existing.columns, existing.schema.fields))
-    new = latest_by_key(incoming, keys, ts, tie_break).select(
-        *[F.col(k).cast(types[k].dataType).alias(k) for k in keys],
+    types = {f.name: f.dataType for f in existing.schema.fields}
+    typed = incoming.select(
         *[
-            (F.col(c) if c in incoming.columns else F.lit(None)).cast(types[c].dataType).alias(f"_new_{c}")
-            for c in values
-        ],
-        F.lit(True).alias("_is_new"),
+            (F.col(c) if c in incoming.columns else F.lit(None)).cast(types[c]).alias(c)
+            for c in existing.columns
+        ]
+    )
+    new = latest_by_key(typed, keys, ts, tie_break, keep_hash=True).select(
+        KEY_HASH, *keys, *[F.col(c).alias(f"_new_{c}") for c in values], F.lit(True).alias("_is_new")
+    )
+    old = existing.select(
+        F.xxhash64(*keys).alias(KEY_HASH), *keys,
+        *[F.col(c).alias(f"_old_{c}") for c in values], F.lit(True).alias("_is_old"),
     )
-    old = existing.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in values], F.lit(True).alias("_is_old"))
     n_ts, o_ts = F.col(f"_new_{ts}"), F.col(f"_old_{ts}")
     newer = (n_ts >= o_ts) if replace_equal else (n_ts > o_ts)
     absent = F.col("_is_old").isNull()
@@ -81,7 +91,7 @@ def merge_monotonic(
     )
     picked = {c: F.when(wins, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).alias(c) for c in values}
     out: list[Column] = [picked[c] if c in picked else F.col(c) for c in existing.columns]
-    return old.join(new, list(keys), "full_outer").select(*out, *([action.alias(ACTION)] if with_action else []))
+    return old.join(new, [KEY_HASH, *keys], "full_outer").select(*out, *([action.alias(ACTION)] if with_action else []))
 
 
 def merge_replace(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

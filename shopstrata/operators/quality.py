@@ -323,9 +323,8 @@ def run_checks(
             if rule.rule_type in _SCOPE_RULES:
                 if rule.scope == "window" and windows is None:
                     raise ValueError("a rule over a window needs the window")
-                grouped.setdefault((rule.table_name, rule.scope), []).append(
-                    _SCOPE_RULES[rule.rule_type](df, rule, f"_r{n}", now)
-                )
+                prepared = _SCOPE_RULES[rule.rule_type](df, rule, f"_r{n}", now)
+                grouped.setdefault((rule.table_name, rule.scope), []).append(prepared)
             elif rule.rule_type == "unique":
                 parts.append(_unique(df, rule))
             elif rule.rule_type == "referential":

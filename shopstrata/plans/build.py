@@ -21,6 +21,7 @@ from ..schemas import TABLES
 from ..sources.config_files import registry_frame
 from ..sources.tables import Warehouse
 from . import state
+from .parallel import in_parallel
 from .upsert import MergeCounts, upsert
 
 SHOP = ["shop_id", "platform"]
@@ -105,21 +106,24 @@ def build_warehouse(
     event = {"batch_id": batch, "table_name": "dw.build", "run_type": "transform", "started_at": now}
     platforms = registry.select(F.lit(0).cast("bigint").alias("shop_id"), "platform").distinct()
     kpi_event = {**event, "table_name": "dw.build_kpi"}
-    state.record_batches(wh, registry.select(*SHOP).withColumns(window), status=state.RUNNING, **event)
+    shops_of = registry.select(*SHOP).withColumns(window)
     try:
+        state.record_batches(wh, shops_of, status=state.RUNNING, **event)
         summary, counts = _build(wh, registry, since, end, now, batch, status_map, holidays)
+        by_platform = platforms.withColumns({**window, "rows_read": F.lit(0), "rows_written": F.lit(0)})
+        in_parallel(
+            lambda: state.record_batches(wh, counts.withColumns(window), status=state.SUCCESS, ended_at=now, **event),
+            lambda: state.record_batches(wh, by_platform, status=state.SUCCESS, ended_at=now, **kpi_event),
+        )
     except Exception as problem:
         state.record_batches(
-            wh, registry.select(*SHOP).withColumns(window), status=state.FAILED, ended_at=now,
-            error_msg=str(problem)[:2000], **event,
+            wh, shops_of, status=state.FAILED, ended_at=now, error_msg=str(problem)[:2000], **event
         )
         state.record_alerts(
             wh, state.alert_row(wh, "warehouse build failed", f"[{since}, {end}]: {problem}", "error"), batch, now,
             min_level=alert_level, enabled=alerts_enabled,
         )
         raise
-    state.record_batches(wh, counts.withColumns(window), status=state.SUCCESS, ended_at=now, **event)
-    state.record_batches(wh, platforms.withColumns(window), status=state.SUCCESS, ended_at=now, **kpi_event)
     return summary
 
 
@@ -127,41 +131,57 @@ def _build(
     wh: Warehouse, registry: DataFrame, since: date, end: date, now: datetime, batch: str,
     status_map: StatusMap | None, holidays: Mapping[date, str] | None,
 ) -> tuple[BuildSummary, DataFrame]:
-    refresh_calendar(wh, since, end, holidays)
-    opened = sync_shops(wh, registry, end)
+    """Three rounds of writes; those of one round only depend on earlier rounds."""
     keys = registry.select(*SHOP)
-
+    day_before = since - timedelta(days=1)
     orders = join_lookup(
         facts.business_window(wh.read("dw.ods_orders", since=since, end=end), since, end), keys, SHOP, "order_id", "left_semi"
     )
     all_items = join_lookup(wh.read("dw.ods_order_items"), keys, SHOP, "order_id", "left_semi")
     dwd = facts.dwd_orders(orders, batch, status_map)
-    dwd_items = facts.dwd_items(all_items, batch)
-    order_counts = upsert(wh, "dw.dwd_orders", dwd, replace_equal=True)
-    item_counts = upsert(wh, "dw.dwd_order_items", facts.items_of_orders(dwd_items, orders), replace_equal=True)
-
-    products = dimensions.product_dimension(all_items, now).withColumn("product_key", F.xxhash64("shop_id", "product_id"))
-    stored = wh.read("dw.dim_product")
-    wh.replace("dw.dim_product", merge.merge_replace(stored, products, ["shop_id", "product_id"]))
 
-    _overwrite(wh, "dw.dws_shop_daily", daily.shop_daily(dwd), since, end, keys)
-    _overwrite(wh, "dw.dws_product_daily", daily.product_daily(dwd, dwd_items), since, end, keys)
+    def window_items():
+        """Items of the window's orders, found in one pass over all items and kept aside."""
+        order_keys = orders.select("shop_id", "order_id")
+        found = join_lookup(all_items, order_keys, ["shop_id", "order_id"], "item_id", "left_semi", salts=1)
+        return wh.stage(facts.dwd_items(found, batch), "items")
+
+    def product_dimension() -> None:
+        products = dimensions.product_dimension(all_items, now)
+        keyed = products.withColumn("product_key", F.xxhash64("shop_id", "product_id"))
+        wh.replace("dw.dim_product", merge.merge_replace(wh.read("dw.dim_product"), keyed, ["shop_id", "product_id"]))
+
+    _, opened, order_counts, items, *_ = in_parallel(
+        lambda: refresh_calendar(wh, since, end, holidays),
+        lambda: sync_shops(wh, registry, end),
+        lambda: upsert(wh, "dw.dwd_orders", dwd, replace_equal=True),
+        window_items,
+        product_dimension,
+        lambda: _overwrite(wh, "dw.dws_shop_daily", daily.shop_daily(dwd), since, end, keys),
+    )
+    item_counts, *_ = in_parallel(
+        lambda: upsert(wh, "dw.dwd_order_items", items.df, replace_equal=True),
+        lambda: _overwrite(wh, "dw.dws_product_daily", daily.product_daily(dwd, items.df), since, end, keys),
+    )
+    items.drop()
 
-    day_before = since - timedelta(days=1)
     shop_days = wh.read("dw.dws_shop_daily", since=day_before)
     overview = reports.shop_overview(
         shop_days.join(keys, SHOP, "left_semi"), wh.read("dw.dws_product_daily", since=since),
         wh.read("dw.dim_product"), since=since,
     )
-    _overwrite(wh, "dw.ads_shop_overview", overview, since, FOREVER, keys)
     platforms = keys.select("platform").distinct()
     kpi = reports.daily_kpi(shop_days.join(platforms, ["platform"], "left_semi"), since=since)
-    _overwrite(wh, "dw.ads_daily_kpi", kpi, since, FOREVER, platforms)
+    in_parallel(
+        lambda: _overwrite(wh, "dw.ads_shop_overview", overview, since, FOREVER, keys),
+        lambda: _overwrite(wh, "dw.ads_daily_kpi", kpi, since, FOREVER, platforms),
+    )
 
     read = (
-        orders.groupBy(*SHOP).agg(F.count(F.lit(1)).alias("_n"), F.count(F.lit(1)).alias("_w"))
-        .unionByName(all_items.groupBy(*SHOP).agg(F.count(F.lit(1)).alias("_n"), F.lit(0).cast("bigint").alias("_w")))
-        .groupBy(*SHOP).agg(F.sum("_n").alias("rows_read"), F.sum("_w").alias("rows_written"))
+        orders.select(*SHOP, F.lit(1).alias("_order"))
+        .unionByName(all_items.select(*SHOP, F.lit(0).alias("_order")))
+        .groupBy(*SHOP)
+        .agg(F.count(F.lit(1)).alias("rows_read"), F.sum("_order").alias("rows_written"))
     )
     counts = keys.join(read, SHOP, "left").fillna(0, ["rows_read", "rows_written"])
     return BuildSummary(batch, since, end, opened, order_counts, item_counts), counts

@@ -21,6 +21,7 @@ from ..operators.deadletters import stamp
 from ..operators.windows import FULL, INCREMENTAL, TimeWindow
 from ..sources.tables import Staged, Warehouse
 from . import state
+from .parallel import in_parallel
 from .upsert import MergeCounts, upsert
 
 STREAM = "stream"
@@ -205,19 +206,23 @@ class _Run:
         staged = self._stage(feed.mark_messages(feed.map_messages(newest, self.batch)), "feed")
         report = self._stage(spans.shops(batch_report(staged, settings.dead_letter_limit)), "report")
         named = report.where("shop_id IS NOT NULL")
-        state.record_batches(wh, named, status=state.RUNNING, **self._event)
-        wh.append(state.ERRORS, stamp(feed.letters_of(staged), self.batch, wall(self.now)))
-
-        over, stray = _gate(report, settings.dead_letter_limit)
-        totals = report.agg(F.sum("rows_read").alias("rows"), F.sum("dead_letters").alias("dead")).first()
+        letters = stamp(feed.letters_of(staged), self.batch, wall(self.now))
+        _, _, (over, stray), totals = in_parallel(
+            lambda: state.record_batches(wh, named, status=state.RUNNING, **self._event),
+            lambda: wh.append(state.ERRORS, letters),
+            lambda: _gate(report, settings.dead_letter_limit),
+            lambda: report.agg(F.sum("rows_read").alias("rows"), F.sum("dead_letters").alias("dead")).first(),
+        )
         result = IngestResult(self.batch, self.run_type, totals.rows or 0, totals.dead or 0)
         if stray:
             self._finish(named, {"over": named.select(*SHOP)})
             raise DeadLetterLimitExceeded("messages without a shop exceed the dead-letter limit", result)
         n_over = over.count()
         passed = staged if n_over == 0 else join_lookup(staged, over, SHOP, "copies", "left_anti")
-        orders = upsert(wh, feed.ORDERS_TABLE, feed.accepted_orders(passed))
-        items = upsert(wh, feed.ITEMS_TABLE, feed.accepted_items(passed))
+        orders, items = in_parallel(
+            lambda: upsert(wh, feed.ORDERS_TABLE, feed.accepted_orders(passed)),
+            lambda: upsert(wh, feed.ITEMS_TABLE, feed.accepted_items(passed)),
+        )
 
         healthy = named if n_over == 0 else named.join(over, SHOP, "left_anti")
         blocked = self._check(healthy)

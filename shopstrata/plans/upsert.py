@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_lookup
 from ..operators.merge import ACTION, merge_monotonic
 from ..schemas import TABLES, conform
 from ..sources.tables import Warehouse
@@ -36,14 +37,14 @@ def touched_partitions(wh: Warehouse, name: str, incoming: DataFrame) -> list[st
     spec = TABLES[name]
     period = wh.part_column(spec).alias("part")
     rows = conform(incoming, spec.schema)
-    landing = {r.part for r in rows.select(period).distinct().collect()}
+    landing = {r.part: r["count"] for r in rows.groupBy(period).count().collect()}
     elsewhere = [p for p in wh.parts(name) if p not in landing]
     if not landing or not elsewhere:
         return sorted(landing)
     keys = list(spec.key)
     older = wh.read_parts(name, elsewhere).select(*keys, period)
-    moved = older.join(rows.select(*keys), keys, "left_semi").select("part").distinct().collect()
-    return sorted(landing | {r.part for r in moved})
+    moved = join_lookup(older, rows.select(*keys), keys, keys[-1], "left_semi", salts=1, rows=sum(landing.values()))
+    return sorted(set(landing) | {r.part for r in moved.select("part").distinct().collect()})
 
 
 def upsert(wh: Warehouse, name: str, incoming: DataFrame, *, replace_equal: bool = False) -> MergeCounts:

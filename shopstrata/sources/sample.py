@@ -138,7 +138,7 @@ def _yuan(cents: Column) -> Column:
 
 
 def _iso(ts: Column, zoned: Column) -> Column:
-    text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    text = F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))  # date_format would go through the session zone
     return F.when(zoned, F.concat(text, F.lit("+08:00"))).otherwise(text)
 
 

@@ -27,6 +27,8 @@ from ..schemas import TABLES, TableSpec, conform
 #: Date patterns of a partition period, by grain.
 GRAINS = {"day": ("yyyy-MM-dd", "%Y-%m-%d"), "month": ("yyyy-MM", "%Y-%m"), "year": ("yyyy", "%Y")}
 WHOLE = "all"
+#: Up to this many periods rows are written without being moved to tasks by period first.
+FEW_PARTS = 4
 UNDATED = "undated"
 
 
@@ -157,8 +159,9 @@ class Warehouse:
     def replace(self, name: str, df: DataFrame, parts: Sequence[str] | None = None) -> None:
         """Replace ``parts`` (all by default) by the rows of ``df``.
 
-        A partition of ``parts`` that ``df`` has no row for disappears.  Writing tasks are
-        rebalanced by period: a period that holds most rows is split over several files.
+        A partition of ``parts`` that ``df`` has no row for disappears.  Rows for many periods
+        are rebalanced by period first, which splits a period that holds most of them over
+        several files; for a few periods every task just writes to each of them.
         """
         spec = TABLES[name]
         before = self._pointer(name)
@@ -167,8 +170,9 @@ class Warehouse:
         attempt = f"{number:06d}{uuid.uuid4().int % 10**9:09d}"
         target = f"{base}/snap={attempt}"
         filed = conform(df, spec.schema).withColumn("part", self.part_column(spec))
-        hinted = filed.hint("rebalance", "part") if spec.dated_by else filed.hint("rebalance")
-        hinted.write.partitionBy("part").parquet(target)
+        if spec.dated_by and (parts is None or len(parts) > FEW_PARTS):
+            filed = filed.hint("rebalance", "part")
+        filed.write.partitionBy("part").parquet(target)
         written = [n[5:] for n in self._files.names(target) if n.startswith("part=")]
         unexpected = [] if parts is None else sorted(set(written) - set(parts))
         if unexpected:
