@@ -61,3 +61,20 @@ def order_detail(orders: DataFrame) -> DataFrame:
     """Order rows, newest day first."""
     order = [F.col("stat_date").desc(), F.col("shop_id"), F.col("order_id")]
     return orders.orderBy(*order).limit(DETAIL_ROWS).select(*ORDER_DETAIL)
+
+
+#: Chart name -> (report table, query over it).
+CHARTS = {
+    "gmv_trend": ("dw.ads_shop_overview", lambda df: sum_by_day(df, "gmv_cents")),
+    "order_trend": ("dw.ads_shop_overview", lambda df: sum_by_day(df, "order_cnt")),
+    "refund_rate_trend": ("dw.ads_shop_overview", lambda df: mean_by_day(df, "refund_rate", scale=10_000)),
+    "avg_order_trend": ("dw.ads_shop_overview", lambda df: mean_by_day(df, "avg_order_cents")),
+    "shop_detail": ("dw.ads_shop_overview", shop_detail),
+    "gmv_total": ("dw.ads_daily_kpi", lambda df: total(df, "gmv_cents")),
+    "order_total": ("dw.ads_daily_kpi", lambda df: total(df, "order_cnt")),
+    "kpi_gmv_trend": ("dw.ads_daily_kpi", lambda df: sum_by_day(df, "gmv_cents")),
+    "kpi_order_trend": ("dw.ads_daily_kpi", lambda df: sum_by_day(df, "order_cnt")),
+    "status_share": ("dw.dwd_orders", status_share),
+    "daily_orders": ("dw.dwd_orders", orders_by_day),
+    "order_detail": ("dw.dwd_orders", order_detail),
+}

@@ -1,4 +1,9 @@
-"""Daily summaries per shop and per product."""
+"""Daily summaries per shop and per product.
+
+A shop is identified by its id and platform.  The platform is part of the grouping rather
+than picked by an aggregate: all buffers are then fixed-width numbers, which keeps the
+aggregations on the hash path.
+"""
 
 from __future__ import annotations
 
@@ -26,9 +31,8 @@ def shop_daily(dwd: DataFrame) -> DataFrame:
     """
     return (
         paid_orders(dwd)
-        .groupBy("stat_date", "shop_id")
+        .groupBy("stat_date", "shop_id", "platform")
         .agg(
-            F.min("platform").alias("platform"),
             _total("payment_amount_cents").alias("gmv_cents"),
             F.count(F.lit(1)).cast("int").alias("order_cnt"),
             distinct_with_null("buyer_nick").cast("int").alias("buyer_cnt"),
@@ -44,9 +48,8 @@ def product_daily(dwd: DataFrame, items: DataFrame) -> DataFrame:
     lines = items.select("shop_id", "order_id", "product_id", "quantity", "amount_cents")
     return (
         paid.join(lines, ["shop_id", "order_id"])
-        .groupBy("stat_date", "shop_id", "product_id")
+        .groupBy("stat_date", "shop_id", "product_id", "platform")
         .agg(
-            F.min("platform").alias("platform"),
             _total("quantity").cast("int").alias("sold_qty"),
             _total("amount_cents").alias("sales_cents"),
         )

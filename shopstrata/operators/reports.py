@@ -40,19 +40,19 @@ def shop_overview(
 ) -> DataFrame:
     """Shop report per day: change against the day before, refund rate and sell-through.
 
-    Shop days and product counts are both keyed by (day, shop), so their join reuses the
+    Shop days and product counts are both grouped by day and shop, so their join reuses the
     partitioning of the aggregations.
     """
     active = (
         _from_window_start(product_days, since)
-        .groupBy("stat_date", "shop_id")
+        .groupBy("stat_date", "shop_id", "platform")
         .agg(F.count(F.lit(1)).cast("int").alias("active_product_cnt"))
     )
     catalogue = products.groupBy("shop_id").agg(F.count(F.lit(1)).cast("int").alias("product_total_cnt"))
     by_shop = ("platform", "shop_id")
     wide = (
         _look_back(shop_days, since)
-        .join(active, ["stat_date", "shop_id"], "left")
+        .join(active, ["stat_date", "shop_id", "platform"], "left")
         .join(catalogue, "shop_id", "left")
         .withColumns(
             {
