@@ -13,7 +13,7 @@ SALTS = 64
 
 
 def join_lookup(
-    big: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by: str, how: str = "inner",
+    big: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by: str | Sequence[str], how: str = "inner",
     *, max_rows: int = BROADCAST_ROWS, salts: int = SALTS, rows: int | None = None,
 ) -> DataFrame:
     """Join ``big`` with one lookup row per key (``how``: inner, left, left_semi or left_anti).
@@ -28,5 +28,6 @@ def join_lookup(
     if salts <= 1:
         return big.join(lookup, list(on), how)
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    columns = [spread_by] if isinstance(spread_by, str) else list(spread_by)
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

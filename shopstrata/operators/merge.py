@@ -54,6 +54,7 @@ def merge_monotonic(
     replace_equal: bool = False,
     tie_break: Sequence[str] = (),
     with_action: bool = False,
+    broadcast_incoming: bool = False,
 ) -> DataFrame:
     """Insert new keys; replace a whole row only when the incoming ``ts`` is strictly newer.
 
@@ -63,18 +64,17 @@ def merge_monotonic(
 
     ``with_action`` adds what happened to each row: ``inserted``, ``updated``, ``ignored``
     (an incoming row was not newer) or ``kept`` (no incoming row).
+
+    Both sides are shuffled by key.  A caller that has counted ``incoming`` and found it
+    small sets ``broadcast_incoming``: the existing rows then stay where they are.
     """
     values = _require_values(existing.columns, keys)
     types = {f.name: f.dataType for f in existing.schema.fields}
     typed = incoming.select(
-        *[
-            (F.col(c) if c in incoming.columns else F.lit(None)).cast(types[c]).alias(c)
-            for c in existing.columns
-        ]
-    )
-    new = latest_by_key(typed, keys, ts, tie_break, keep_hash=True).select(
-        KEY_HASH, *keys, *[F.col(c).alias(f"_new_{c}") for c in values], F.lit(True).alias("_is_new")
+        *[(F.col(c) if c in incoming.columns else F.lit(None)).cast(types[c]).alias(c) for c in existing.columns]
     )
+    newest = latest_by_key(typed, keys, ts, tie_break, keep_hash=True)
+    new = newest.select(KEY_HASH, *keys, *[F.col(c).alias(f"_new_{c}") for c in values], F.lit(True).alias("_is_new"))
     old = existing.select(
         F.xxhash64(*keys).alias(KEY_HASH), *keys,
         *[F.col(c).alias(f"_old_{c}") for c in values], F.lit(True).alias("_is_old"),
@@ -91,7 +91,17 @@ def merge_monotonic(
     )
     picked = {c: F.when(wins, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).alias(c) for c in values}
     out: list[Column] = [picked[c] if c in picked else F.col(c) for c in existing.columns]
-    return old.join(new, [KEY_HASH, *keys], "full_outer").select(*out, *([action.alias(ACTION)] if with_action else []))
+    out += [action.alias(ACTION)] if with_action else []
+    on = [KEY_HASH, *keys]
+    if not broadcast_incoming:
+        return old.join(new, on, "full_outer").select(*out)
+    # Existing rows look their new version up; new keys are those no existing row asks for.
+    matched = old.join(F.broadcast(new), on, "left").select(*out)
+    known = old.select(*on).join(F.broadcast(new.select(*on)), on, "left_semi")
+    inserted = newest.join(known, on, "left_anti").select(
+        *existing.columns, *([F.lit("inserted").alias(ACTION)] if with_action else [])
+    )
+    return matched.unionByName(inserted)
 
 
 def merge_replace(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -218,7 +218,7 @@ class _Run:
             self._finish(named, {"over": named.select(*SHOP)})
             raise DeadLetterLimitExceeded("messages without a shop exceed the dead-letter limit", result)
         n_over = over.count()
-        passed = staged if n_over == 0 else join_lookup(staged, over, SHOP, "copies", "left_anti")
+        passed = staged if n_over == 0 else join_lookup(staged, over, SHOP, ["order_row", "letters"], "left_anti")
         orders, items = in_parallel(
             lambda: upsert(wh, feed.ORDERS_TABLE, feed.accepted_orders(passed)),
             lambda: upsert(wh, feed.ITEMS_TABLE, feed.accepted_items(passed)),

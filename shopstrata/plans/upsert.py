@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import join_lookup
 from ..operators.merge import ACTION, merge_monotonic
-from ..schemas import TABLES, conform
+from ..schemas import STR, TABLES, conform
 from ..sources.tables import Warehouse
 
 
@@ -27,7 +27,13 @@ class MergeCounts:
         return self.inserted + self.updated
 
 
-def touched_partitions(wh: Warehouse, name: str, incoming: DataFrame) -> list[str]:
+@dataclass(frozen=True)
+class _Touched:
+    parts: list[str]
+    incoming_rows: int
+
+
+def touched_partitions(wh: Warehouse, name: str, incoming: DataFrame) -> _Touched:
     """Partitions that hold an incoming row or an older version of one.
 
     A row may move to another period when its date changes, so the keys are looked up in the
@@ -38,27 +44,46 @@ def touched_partitions(wh: Warehouse, name: str, incoming: DataFrame) -> list[st
     period = wh.part_column(spec).alias("part")
     rows = conform(incoming, spec.schema)
     landing = {r.part: r["count"] for r in rows.groupBy(period).count().collect()}
+    total = sum(landing.values())
     elsewhere = [p for p in wh.parts(name) if p not in landing]
     if not landing or not elsewhere:
-        return sorted(landing)
+        return _Touched(sorted(landing), total)
     keys = list(spec.key)
     older = wh.read_parts(name, elsewhere).select(*keys, period)
-    moved = join_lookup(older, rows.select(*keys), keys, keys[-1], "left_semi", salts=1, rows=sum(landing.values()))
-    return sorted(set(landing) | {r.part for r in moved.select("part").distinct().collect()})
+    moved = join_lookup(older, rows.select(*keys), keys, keys[-1], "left_semi", salts=1, rows=total)
+    found = {r.part for r in moved.select("part").distinct().collect()}
+    return _Touched(sorted(set(landing) | found), total)
+
+
+#: Rows and bytes up to which an incoming batch is sent to every executor.  Whole rows are
+#: wider than lookup keys, so their size is checked as well.
+SMALL_BATCH_ROWS = 100_000
+SMALL_BATCH_BYTES = 64 * 1024 * 1024
+
+
+def _is_small(incoming: DataFrame, rows: int) -> bool:
+    if rows > SMALL_BATCH_ROWS:
+        return False
+    text = [F.coalesce(F.length(F.col(f.name)), F.lit(0)) for f in incoming.schema.fields if f.dataType == STR]
+    width = sum(text[1:], text[0]) if text else F.lit(0)
+    chars = incoming.agg(F.sum(width).alias("chars")).first().chars or 0
+    return chars * 4 + rows * 16 * len(incoming.columns) <= SMALL_BATCH_BYTES
 
 
 def upsert(wh: Warehouse, name: str, incoming: DataFrame, *, replace_equal: bool = False) -> MergeCounts:
     """Monotonic merge of ``incoming`` into a stored table."""
     spec = TABLES[name]
-    parts = touched_partitions(wh, name, incoming)
-    if not parts:
+    touched = touched_partitions(wh, name, incoming)
+    if not touched.parts:
         return MergeCounts()
+    rows = conform(incoming, spec.schema)
+    stored = wh.read_parts(name, touched.parts)
     merged = merge_monotonic(
-        wh.read_parts(name, parts), conform(incoming, spec.schema), spec.key,
-        replace_equal=replace_equal, with_action=True,
+        stored, rows, spec.key, replace_equal=replace_equal, with_action=True,
+        broadcast_incoming=wh.exists(name) and _is_small(rows, touched.incoming_rows),
     )
     seen = Observation()
     actions = ("inserted", "updated", "ignored", "kept")
     counted = merged.observe(seen, *[F.count_if(F.col(ACTION) == a).alias(a) for a in actions])
-    wh.replace(name, counted.drop(ACTION), parts)
+    wh.replace(name, counted.drop(ACTION), touched.parts)
     return MergeCounts(**{a: seen.get[a] for a in actions})

@@ -195,6 +195,18 @@ def test_merge_is_idempotent_and_independent_of_order(spark):
     assert content(merge.merge_monotonic(state, state, KEY)) == whole
 
 
+def test_merge_without_moving_existing_rows_gives_the_same(spark):
+    rng = random.Random(3)
+    t = datetime(2026, 9, 1)
+    old = demo(spark, *[(f"k{n}", "old", n, t + timedelta(hours=n % 5)) for n in range(40)])
+    new = demo(spark, *[(f"k{rng.randrange(60)}", f"n{n}", n, t + timedelta(hours=n % 7)) for n in range(80)])
+    for equal in (False, True):
+        shuffled = merge.merge_monotonic(old, new, KEY, replace_equal=equal, with_action=True)
+        resident = merge.merge_monotonic(old, new, KEY, replace_equal=equal, with_action=True, broadcast_incoming=True)
+        assert content(shuffled) == content(resident)
+    assert {r[0] for r in resident.select(merge.ACTION).distinct().collect()} == {"inserted", "updated", "ignored", "kept"}
+
+
 def test_merge_fills_missing_and_ignores_additional_columns(spark):
     t = datetime(2026, 9, 1)
     new = demo(spark, ("A", "paid", 1, t)).drop("status").withColumn("extra", F.lit(1))
