@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, packing
+from . import bpe_codec, packing, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,8 @@ def op2_best_fit_packing(spark, d):
 def op4_byte_bpe(spark, d):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe_codec.round_trip(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op6_simhash(spark, d):
+    return simhash.near_duplicates(table(spark, d, "documents"))
