@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, packing, simhash
+from . import bpe_codec, packing, simhash, substrings
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,30 @@ def op4_byte_bpe(spark, d):
 @query
 def op6_simhash(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents"))
+
+
+@query
+def op7_super_kmers(spark, d):
+    return substrings.removal_digest(table(spark, d, "documents"))
+
+
+SQL["op7_super_kmers"] = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (
+    SELECT doc_id, unnest(generate_series(1, len(w) - 12)) AS i, w FROM words WHERE len(w) >= 13
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS k FROM starts
+), judged AS (
+    SELECT doc_id, i, doc_id > min(doc_id) OVER (PARTITION BY k) AS late FROM windows
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS i FROM judged WHERE late
+), gone AS (
+    SELECT doc_id, list(i) AS gone FROM covered GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, len(w) AS n_words, list_filter(w, lambda x, i: gone IS NULL OR NOT list_contains(gone, i)) AS k
+    FROM words LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, n_words, n_words - len(k) AS n_removed, sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256
+FROM kept
+"""
