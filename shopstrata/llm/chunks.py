@@ -13,10 +13,13 @@ from collections.abc import Callable, Iterable
 
 INSIDE_RUN = re.compile(r"\s (?=\s|\Z)")
 #: Chunks kept between texts in one worker, about 200 bytes each; a fuller cache starts anew.
-KEPT_CHUNKS = 300_000
+KEPT_CHUNKS = 600_000
 #: Longer chunks are encoded but not kept.
 KEPT_LENGTH = 64
 
+#: Marks that often follow a word.
+MARKS = ".,"
+
 
 class ChunkEncoder:
     """``encode(list of texts) -> list of bytes`` gives little-endian 32-bit ids of each text."""
@@ -24,33 +27,51 @@ class ChunkEncoder:
     def __init__(self, encode: Callable[[list[str]], Iterable[bytes]]):
         self.encode = encode
         self.cache: dict[str, bytes] = {}
+        self.marks = dict(zip(MARKS, encode(list(MARKS)), strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        wanted: set[str] = set()
+        get = self.cache.get
+        cut: list[tuple[list[str], list[bytes | None]] | None] = []
+        missing: dict[str, None] = {}
         for text in texts:
             if not text or "\x00" in text or INSIDE_RUN.search(text):
                 cut.append(None)
                 continue
-            head, *rest = text.split(" ")
+            chunks = text.split(" ")
             # keys are what follows a space; a text's head follows none and carries a mark instead
-            chunks = ["\x00" + head, *rest] if head else rest
-            cut.append(chunks)
-            wanted.update(chunks)
-        missing = list(wanted.difference(self.cache))
-        if len(self.cache) + len(missing) > KEPT_CHUNKS:
-            self.cache = {c: self.cache[c] for c in wanted if c in self.cache}
-        if missing:
-            self.cache.update(zip(missing, self.encode([_text(c) for c in missing]), strict=True))
+            if chunks[0]:
+                chunks[0] = "\x00" + chunks[0]
+            else:
+                del chunks[0]
+            found = list(map(get, chunks))
+            if None in found:
+                missing.update((c, None) for c, v in zip(chunks, found, strict=True) if v is None)
+            cut.append((chunks, found))
+        fresh = self._encode_missing(list(missing))
         whole = iter(self.encode([t for t, c in zip(texts, cut, strict=True) if c is None and t]))
-        get = self.cache.__getitem__
-        out = [
-            b"".join(map(get, chunks)) if chunks is not None else next(whole) if text else b""
-            for text, chunks in zip(texts, cut, strict=True)
-        ]
-        for chunk in missing:
-            if len(chunk) > KEPT_LENGTH:
-                del self.cache[chunk]
+        out = []
+        for text, pair in zip(texts, cut, strict=True):
+            if pair is None:
+                out.append(next(whole) if text else b"")
+                continue
+            chunks, found = pair
+            if None in found:
+                found = [fresh[c] if v is None else v for c, v in zip(chunks, found, strict=True)]
+            out.append(b"".join(found))
+        if len(self.cache) + len(fresh) > KEPT_CHUNKS:
+            self.cache.clear()
+        self.cache.update((c, v) for c, v in fresh.items() if len(c) <= KEPT_LENGTH)
+        return out
+
+    def _encode_missing(self, chunks: list[str]) -> dict[str, bytes]:
+        """A word and the mark behind it never share a token, so its letters are encoded once for all marks."""
+        bases = [c[:-1] if c[-1:] in self.marks and c[:-1].isalpha() else c for c in chunks]
+        wanted = [b for b in dict.fromkeys(bases) if b not in self.cache]
+        out = dict(zip(wanted, self.encode([_text(b) for b in wanted]), strict=True))
+        for chunk, base in zip(chunks, bases, strict=True):
+            if chunk is not base:
+                ids = out[base] if base in out else self.cache[base]
+                out[chunk] = ids + self.marks[chunk[-1]]
         return out
 
 
