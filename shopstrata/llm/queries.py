@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, packing, simhash, substrings, topk
+from . import bpe_codec, packing, reputation, simhash, substrings, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,80 @@ def op2_best_fit_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+URL_RULES = [
+    reputation.Rule("org", "/", "allow"),
+    reputation.Rule("example.org", "/es/", "block"),
+    reputation.Rule("example.org", "/en/1", "block"),
+    reputation.Rule("com", "/fr/", "allow"),
+    reputation.Rule("com", "/de/", "block"),
+]
+
+
+@query
+def op3_host_reputation(spark, d):
+    judged = reputation.judge(table(spark, d, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _level(name: str, counts: str) -> str:
+    """SQL of one level: counts with a prior, then their posterior rates."""
+    return f"""
+{name}_in AS ({counts}),
+{name}_weight AS (
+    SELECT coalesce(CASE WHEN pairs > 0 AND over > 0
+        THEN least(1000.0, greatest(0.5, pairs / over - 1)) END, 1000.0) AS weight
+    FROM (SELECT sum(pow(bad - n * prior, 2) - n * prior * (1 - prior)) AS over,
+                 sum((n - 1) * n * prior * (1 - prior)) AS pairs FROM {name}_in WHERE n > 0)
+),
+{name} AS (
+    SELECT *, (prior * weight + bad) / (weight + n) AS rate FROM {name}_in, {name}_weight
+)"""
+
+
+SQL["op3_host_reputation"] = (
+    r"""
+WITH rest AS (
+    SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
+), parts AS (
+    SELECT page_id, regexp_extract(r, '^[^/?#]*') AS raw,
+           regexp_extract(substr(r, length(regexp_extract(r, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+    FROM rest
+), split AS (
+    SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM parts
+), rules (h, p, verdict) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+           ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), ruled AS (
+    SELECT page_id, host, path,
+           (SELECT max({'size': length(h || p), 'rule': h || p, 'verdict': verdict}) FROM rules
+            WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS best
+    FROM split
+), labelled AS (
+    SELECT host, count(best) AS n, count(*) FILTER (best.verdict = 'block') AS bad FROM ruled GROUP BY host
+), named AS (
+    SELECT *, CASE WHEN two IN ('co.jp', 'co.uk', 'com.au', 'com.br', 'org.uk') THEN three ELSE two END AS domain,
+           CASE WHEN two IN ('co.jp', 'co.uk', 'com.au', 'com.br', 'org.uk') THEN two ELSE one END AS suffix
+    FROM (SELECT *, regexp_extract(host, '[^.]*$') AS one, regexp_extract(host, '([^.]*\.)?[^.]*$') AS two,
+                 regexp_extract(host, '([^.]*\.)?([^.]*\.)?[^.]*$') AS three FROM labelled)
+), by_domain AS (
+    SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM named GROUP BY domain, suffix
+), by_suffix AS (
+    SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM by_domain GROUP BY suffix
+),"""
+    + _level("s", "SELECT *, (SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n) END FROM by_suffix) AS prior FROM by_suffix")
+    + ","
+    + _level("o", "SELECT d.*, s.rate AS prior FROM by_domain d JOIN s USING (suffix)")
+    + ","
+    + _level("t", "SELECT h.host, h.n, h.bad, o.rate AS prior FROM named h JOIN o USING (domain, suffix)")
+    + """
+SELECT page_id, host, path, best.rule AS rule,
+       coalesce(best.verdict, CASE WHEN t.rate - 1.645 * sqrt(t.rate * (1 - t.rate) / (t.weight + t.n + 1)) > 0.5
+                                   THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled JOIN t USING (host)
+"""
+)
+
+
 @query
 def op4_byte_bpe(spark, d):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
