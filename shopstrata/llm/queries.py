@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, packing, reputation, simhash, substrings, topk
+from . import bpe_codec, outliers, packing, reputation, simhash, substrings, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,13 @@ def op4_byte_bpe(spark, d):
     return bpe_codec.round_trip(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query
+def op5_mcd_outliers(spark, d):
+    return outliers.judge(table(spark, d, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query
 def op6_simhash(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents"))
