@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, outliers, packing, reputation, simhash, substrings, topk
+from . import bpe_codec, language_id, outliers, packing, reputation, simhash, substrings, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_crf_language(spark, d):
+    return language_id.identify(table(spark, d, "documents"))
+
+
 @query
 def op2_best_fit_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
