@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, language_id, outliers, packing, reputation, simhash, substrings, topk
+from . import bpe_codec, language_id, licenses, outliers, packing, reputation, simhash, substrings, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,8 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op10_license_scan(spark, d):
+    return licenses.scan(table(spark, d, "documents"))
