@@ -31,7 +31,7 @@ class ChunkEncoder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         get = self.cache.get
-        cut: list[tuple[list[str], list[bytes | None]] | None] = []
+        cut: list[tuple[list[str], list[bytes | None], list[int]] | None] = []
         missing: dict[str, None] = {}
         for text in texts:
             if not text or "\x00" in text or INSIDE_RUN.search(text):
@@ -44,34 +44,44 @@ class ChunkEncoder:
             else:
                 del chunks[0]
             found = list(map(get, chunks))
-            if None in found:
-                missing.update((c, None) for c, v in zip(chunks, found, strict=True) if v is None)
-            cut.append((chunks, found))
-        fresh = self._encode_missing(list(missing))
+            gaps, at = [], -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                gaps.append(at)
+                missing[chunks[at]] = None
+            cut.append((chunks, found, gaps))
+        fresh = self._encode_missing(missing)
         whole = iter(self.encode([t for t, c in zip(texts, cut, strict=True) if c is None and t]))
         out = []
-        for text, pair in zip(texts, cut, strict=True):
-            if pair is None:
+        for text, own in zip(texts, cut, strict=True):
+            if own is None:
                 out.append(next(whole) if text else b"")
                 continue
-            chunks, found = pair
-            if None in found:
-                found = [fresh[c] if v is None else v for c, v in zip(chunks, found, strict=True)]
+            chunks, found, gaps = own
+            for at in gaps:
+                found[at] = fresh[chunks[at]]
             out.append(b"".join(found))
         if len(self.cache) + len(fresh) > KEPT_CHUNKS:
             self.cache.clear()
-        self.cache.update((c, v) for c, v in fresh.items() if len(c) <= KEPT_LENGTH)
+        self.cache.update(fresh)
+        for chunk in [c for c in fresh if len(c) > KEPT_LENGTH]:
+            del self.cache[chunk]
         return out
 
-    def _encode_missing(self, chunks: list[str]) -> dict[str, bytes]:
+    def _encode_missing(self, chunks: Iterable[str]) -> dict[str, bytes]:
         """A word and the mark behind it never share a token, so its letters are encoded once for all marks."""
-        bases = [c[:-1] if c[-1:] in self.marks and c[:-1].isalpha() else c for c in chunks]
-        wanted = [b for b in dict.fromkeys(bases) if b not in self.cache]
-        out = dict(zip(wanted, self.encode([_text(b) for b in wanted]), strict=True))
-        for chunk, base in zip(chunks, bases, strict=True):
-            if chunk is not base:
-                ids = out[base] if base in out else self.cache[base]
-                out[chunk] = ids + self.marks[chunk[-1]]
+        wanted: dict[str, None] = {}
+        marked = []
+        for chunk in chunks:
+            if chunk[-1:] in self.marks and (word := chunk[:-1]).isalpha():
+                marked.append((chunk, word))
+                if word not in self.cache:
+                    wanted[word] = None
+            else:
+                wanted[chunk] = None
+        out = dict(zip(wanted, self.encode([_text(c) for c in wanted]), strict=True))
+        for chunk, word in marked:
+            out[chunk] = (out.get(word) or self.cache[word]) + self.marks[chunk[-1]]
         return out
 
 

@@ -13,12 +13,14 @@ from __future__ import annotations
 
 import bisect
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe_codec import stand_ins
 from .chunks import ChunkEncoder
 from .common import cut, ship, steps
 
@@ -35,7 +37,6 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 def encoder(path: str) -> ChunkEncoder:
     """The tokenizer of a file, one per worker."""
     if path not in _ENCODERS:
-        import array
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -44,10 +45,26 @@ def encoder(path: str) -> ChunkEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-        def encode(texts: list[str]) -> Iterator[bytes]:
-            for at in range(0, len(texts), 20_000):
-                for e in tokenizer.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False):
-                    yield array.array("I", e.ids).tobytes()
+        tokenize, table = tokenizer.model.tokenize, dict(enumerate(stand_ins()))
+        space = table[32]
+
+        def encode(texts: list[str]) -> list[bytes]:
+            """A run of letters is one word of the split pattern and goes to the model at once, the rest the whole way."""
+            out: list[bytes | None] = []
+            rest = []
+            for text in texts:
+                word = text[1:] if text[0] == " " else text
+                if not word.isalpha():
+                    rest.append(text)
+                    out.append(None)
+                    continue
+                if text.isascii():
+                    mapped = space + word if word is not text else word
+                else:
+                    mapped = text.encode().decode("latin-1").translate(table)
+                out.append(array("I", [t.id for t in tokenize(mapped)]).tobytes())
+            found = iter(tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+            return [array("I", next(found).ids).tobytes() if ids is None else ids for ids in out]
 
         _ENCODERS[path] = ChunkEncoder(encode)
     return _ENCODERS[path]
