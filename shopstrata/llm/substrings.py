@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, groupby
 
 import numpy as np
@@ -80,6 +80,16 @@ def mark_of(text: bytes) -> int:
     return zlib.crc32(text) >> 8
 
 
+def no_mark(text: bytes) -> int:  # noqa: ARG001
+    return 0
+
+
+def marker(docs: DataFrame) -> Callable[[bytes], int]:
+    """How texts with one id are told apart: not at all where no id is repeated, which saves 3 bytes a run."""
+    repeated = docs.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1")
+    return mark_of if repeated.limit(1).count() else no_mark
+
+
 def word_codes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each word, and where it starts. Long texts are read in pieces that end behind a white space."""
     codes, starts, at = [], [], 0
@@ -149,11 +159,11 @@ def super_kmers(texts: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, n
     return own[begins], (at - first[at])[begins], runs, mini[begins]
 
 
-def _texts(part: pa.RecordBatch) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+def _texts(part: pa.RecordBatch, mark: Callable[[bytes], int]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """Ids, texts and marks of the rows with an id and a text."""
     rows = [(i, t) for i, t in zip(*(c.to_pylist() for c in part.columns[:2]), strict=True) if i is not None and t]
     texts = [t for _, t in rows]
-    return np.array([i for i, _ in rows], np.int64), texts, np.array([mark_of(t) for t in texts], np.int64)
+    return np.array([i for i, _ in rows], np.int64), texts, np.array([mark(t) for t in texts], np.int64)
 
 
 def _binary(docs: DataFrame) -> DataFrame:
@@ -161,13 +171,13 @@ def _binary(docs: DataFrame) -> DataFrame:
     return docs.select(long_id(docs), F.col("text").cast("string").cast("binary").alias("text"))
 
 
-def listed(docs: DataFrame, window: int, heavy: np.ndarray) -> DataFrame:
+def listed(docs: DataFrame, window: int, heavy: np.ndarray, mark: Callable[[bytes], int] = no_mark) -> DataFrame:
     """Super-k-mers as numbers. The share in ``tag`` is 0, or for a heavy minimiser one of ``SHARES`` by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, "text"):
-                ids, texts, marks = _texts(part)
+                ids, texts, marks = _texts(part, mark)
                 own, start, runs, mini = super_kmers(texts, window)
                 doc_id = ids[own]
                 share = np.where(np.isin(mini, heavy), 1 + doc_id % SHARES, 0) if len(heavy) else np.zeros_like(mini)
@@ -191,7 +201,7 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.concatenate([[0], np.cumsum(sizes)]), column.flatten()
 
 
-def _cut(docs: DataFrame, runs: DataFrame, window: int) -> DataFrame:
+def _cut(docs: DataFrame, runs: DataFrame, window: int, mark: Callable[[bytes], int]) -> DataFrame:
     """The strings of the listed runs; heavy ones window by window, in the bucket of their own text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,9 +211,9 @@ def _cut(docs: DataFrame, runs: DataFrame, window: int) -> DataFrame:
                 bounds, values = _lists(part.column(3))
                 values = values.to_numpy(zero_copy_only=False)
                 ids, texts, marks = (part.column(k).to_pylist() for k in range(3))
-                for i, (doc_id, text, mark) in enumerate(zip(ids, texts, marks, strict=True)):
-                    if mark == mark_of(text):
-                        _strings(doc_id, text, mark, values[bounds[i] : bounds[i + 1]], window, out)
+                for i, (doc_id, text, own) in enumerate(zip(ids, texts, marks, strict=True)):
+                    if own == mark(text):
+                        _strings(doc_id, text, own, values[bounds[i] : bounds[i + 1]], window, out)
                 types = pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, t) for v, t in zip(out, types, strict=True)], names=_names(CUT)
@@ -283,10 +293,10 @@ def _judged(strings: DataFrame, window: int, firsts: bool) -> DataFrame:
     return ordered.mapInArrow(run, CUT if firsts else FLAGGED)
 
 
-def flagged(docs: DataFrame, window: int, seen: int, most: int) -> DataFrame:
+def flagged(docs: DataFrame, window: int, seen: int, most: int, mark: Callable[[bytes], int]) -> DataFrame:
     """``(doc_id, places)``: the windows of each document that also start in a smaller one."""
     heavy = heavy_minimisers(docs, window, seen, most) if most else np.zeros(0, np.int64)
-    rows = listed(docs, window, heavy).withColumn("share", F.col("tag").bitwiseAND((1 << SHARE_BITS) - 1))
+    rows = listed(docs, window, heavy, mark).withColumn("share", F.col("tag").bitwiseAND((1 << SHARE_BITS) - 1))
     met = Window.partitionBy("mini", "share")
     shared = rows.select("*", F.min("doc_id").over(met).alias("lo"), F.max("doc_id").over(met).alias("hi")).where(
         "share > 0 OR lo < hi"
@@ -298,23 +308,25 @@ def flagged(docs: DataFrame, window: int, seen: int, most: int) -> DataFrame:
     runs = shared.groupBy("doc_id", F.shiftright("tag", SHARE_BITS).alias("mark")).agg(
         F.collect_list(packed).alias("runs")  # no more than the document has words
     )
-    strings = _cut(docs, runs, window)
+    strings = _cut(docs, runs, window, mark)
     late = _judged(strings, window, False)
     if len(heavy):
         late = late.unionByName(_judged(_judged(strings, window, True), window, False))
     return late.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "place")).alias("places"))
 
 
-def _with_places(docs: DataFrame, window: int, seen: int, most: int) -> DataFrame:
-    """Every row with the flagged places of its id; null ids have none."""
+def _with_places(docs: DataFrame, window: int, seen: int, most: int) -> tuple[DataFrame, Callable[[bytes], int]]:
+    """Every row with the flagged places of its id, and how texts are told apart; null ids have none."""
     ship(docs.sparkSession)
     rows = _binary(docs)
-    found = flagged(rows, window, seen, most)
+    mark = marker(rows)
+    found = flagged(rows, window, seen, most, mark)
     named = rows.where("doc_id IS NOT NULL").join(found, "doc_id", "left")
-    return named.unionByName(rows.where("doc_id IS NULL"), allowMissingColumns=True).select("doc_id", "text", "places")
+    every = named.unionByName(rows.where("doc_id IS NULL"), allowMissingColumns=True)
+    return every.select("doc_id", "text", "places"), mark
 
 
-def _kept(part: pa.RecordBatch, window: int) -> Iterator[tuple[int | None, list[bytes], int]]:
+def _kept(part: pa.RecordBatch, window: int, mark: Callable[[bytes], int]) -> Iterator[tuple[int | None, list[bytes], int]]:
     """Of each row: id, the words outside flagged windows, and the number of words there were."""
     bounds, values = _lists(part.column(2))
     marks = values.field("tag").to_numpy(zero_copy_only=False) >> SHARE_BITS
@@ -322,7 +334,7 @@ def _kept(part: pa.RecordBatch, window: int) -> Iterator[tuple[int | None, list[
     for i, (doc_id, text) in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)):
         words = (text or b"").split()
         own = slice(bounds[i], bounds[i + 1])
-        at = places[own][marks[own] == mark_of(text)] if bounds[i] < bounds[i + 1] else ()
+        at = places[own][marks[own] == mark(text)] if bounds[i] < bounds[i + 1] else ()
         if not len(at):
             yield doc_id, words, len(words)
             continue
@@ -334,12 +346,13 @@ def _kept(part: pa.RecordBatch, window: int) -> Iterator[tuple[int | None, list[
 
 def removal_digest(docs: DataFrame, window: int = WINDOW, seen: int = HEAVY_SEEN, most: int = MOST_HEAVY) -> DataFrame:
     """Words, removed words and the digest of the kept words of every document."""
+    rows, mark = _with_places(docs, window, seen, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, "text"):
                 ids, sizes, gone, digests = [], [], [], []
-                for doc_id, words, n in _kept(part, window):
+                for doc_id, words, n in _kept(part, window, mark):
                     ids.append(doc_id)
                     sizes.append(n)
                     gone.append(n - len(words))
@@ -349,7 +362,7 @@ def removal_digest(docs: DataFrame, window: int = WINDOW, seen: int = HEAVY_SEEN
                     names=_names(DIGEST),
                 )
 
-    return _with_places(docs, window, seen, most).mapInArrow(run, DIGEST)
+    return rows.mapInArrow(run, DIGEST)
 
 
 def kept_texts(docs: DataFrame, window: int = WINDOW, seen: int = HEAVY_SEEN, most: int = MOST_HEAVY) -> DataFrame:
@@ -358,19 +371,20 @@ def kept_texts(docs: DataFrame, window: int = WINDOW, seen: int = HEAVY_SEEN, mo
     ``mark`` tells apart texts with one id: 24 bits of their CRC-32.
     """
     schema = "doc_id long, mark int, kept string, n_removed long"
+    rows, mark = _with_places(docs, window, seen, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, "text"):
-                rows = [
+                found = [
                     (doc_id, mark_of(text), b" ".join(words).decode(), n - len(words))
-                    for text, (doc_id, words, n) in zip(part.column(1).to_pylist(), _kept(part, window), strict=True)
+                    for text, (doc_id, words, n) in zip(part.column(1).to_pylist(), _kept(part, window, mark), strict=True)
                     if len(words) < n
                 ]
-                columns = zip(*rows, strict=True) if rows else ((), (), (), ())
+                columns = zip(*found, strict=True) if found else ((), (), (), ())
                 types = pa.int64(), pa.int32(), pa.string(), pa.int64()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(v), t) for v, t in zip(columns, types, strict=True)], names=_names(schema)
                 )
 
-    return _with_places(docs, window, seen, most).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
