@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, language_id, licenses, outliers, packing, reputation, simhash, substrings, topk
+from . import bpe_codec, html_blocks, language_id, licenses, outliers, packing, reputation, simhash, substrings, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,6 +149,11 @@ FROM kept
 """
 
 
+@query
+def op8_block_lstm(spark, d):
+    return html_blocks.extract(table(spark, d, "pages"))
+
+
 @query
 def op9_top_k(spark, d):
     return topk.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
