@@ -274,8 +274,8 @@ def sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[str, str]]
     return out
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row, from its text alone."""
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, lang_pred, score`` of every row, from its text alone; long columns in ``keep`` are handed through."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # labels x BUCKETS numbers
 
@@ -286,12 +286,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), pa.array([l for l, _ in found], pa.string()),
-                        pa.array([s for _, s in found], pa.float64()),
+                        pa.array([s for _, s in found], pa.float64()), *(part.column(c) for c in keep),
                     ],
-                    names=["doc_id", "lang_pred", "score"],
+                    names=["doc_id", "lang_pred", "score", *keep],
                 )
 
-    return docs.select(long_id(docs), F.col("text").cast("string")).mapInArrow(run, PREDICTED)
+    rows = docs.select(long_id(docs), F.col("text").cast("string"), *keep)
+    return rows.mapInArrow(run, ", ".join([PREDICTED, *(f"{c} long" for c in keep)]))
 
 
 def identify(docs: DataFrame) -> DataFrame:
