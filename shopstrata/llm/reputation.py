@@ -84,11 +84,9 @@ def _shrunk(counts: DataFrame) -> DataFrame:
     )
     ratio = F.when(F.col("pairs") > 0, F.col("over") / F.col("pairs"))
     weight = F.when(ratio > 0, F.least(F.lit(HEAVIEST), F.greatest(F.lit(LIGHTEST), 1 / ratio - 1)))
-    one = moments.select(F.coalesce(weight, F.lit(HEAVIEST)).alias("weight"), F.lit(0).alias("every"))
+    one = moments.select(F.coalesce(weight, F.lit(HEAVIEST))).scalar()
     rate = (F.col("prior") * F.col("weight") + F.col("bad")) / (F.col("weight") + F.col("n"))
-    # the table sent to all tasks has one row
-    joined = counts.withColumn("every", F.lit(0)).join(F.broadcast(one), "every").drop("every")
-    return joined.withColumn("rate", rate)
+    return counts.withColumn("weight", one).withColumn("rate", rate)
 
 
 def reputations(outcomes: DataFrame, two_label: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> DataFrame:
@@ -100,9 +98,9 @@ def reputations(outcomes: DataFrame, two_label: tuple[str, ...] = TWO_LABEL_SUFF
     )
     by_host = by_host.withColumn("domain", domain).withColumn("suffix", suffix)
     by_domain = by_host.groupBy("domain", "suffix").agg(*sums)
-    by_suffix = by_domain.groupBy("suffix").agg(*sums).withColumn("every", F.lit(0))
-    total = by_suffix.agg(F.try_divide(F.sum("bad"), F.sum("n")).alias("prior"), F.lit(0).alias("every"))
-    suffixes = _shrunk(by_suffix.join(F.broadcast(total), "every").drop("every"))
+    by_suffix = by_domain.groupBy("suffix").agg(*sums)
+    total = by_suffix.agg(F.try_divide(F.sum("bad"), F.sum("n"))).scalar()
+    suffixes = _shrunk(by_suffix.withColumn("prior", total))
     named = _shrunk(by_domain.join(suffixes.select("suffix", F.col("rate").alias("prior")), "suffix"))
     hosts = _shrunk(by_host.join(named.select("domain", "suffix", F.col("rate").alias("prior")), ["domain", "suffix"]))
     deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("weight") + F.col("n") + 1))
