@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import SparkSession
 
-from .operators import windows
+from .operators import feed, windows
 from .operators.charts import CHARTS
 from .plans import backfill, build, ingest, monitor, reporting, state
 from .sources import config_files, landing
@@ -20,6 +20,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--root", required=True, help="warehouse directory on a shared file system")
     parser.add_argument("--grain", choices=sorted(GRAINS), default="month", help="period of a partition")
     parser.add_argument("--now", type=datetime.fromisoformat, help="clock of the run, default: the current time")
+    parser.add_argument("--out", help="folder for the rows of metrics, chart and counts; default: print them all")
     commands = parser.add_subparsers(dest="command", required=True)
 
     def add(name: str, text: str, *options: str) -> argparse.ArgumentParser:
@@ -52,6 +53,8 @@ def _parser() -> argparse.ArgumentParser:
     add("sync-rules", "register configured data-quality rules", "--rules")
     add("metrics", "pipeline health")
     add("chart", "one dashboard query").add_argument("name", choices=sorted(CHARTS))
+    sub = add("expire", "delete data that only older versions of the tables name")
+    sub.add_argument("--keep", type=int, default=2, help="versions of each table to keep")
     sub = add("counts", "row counts of stored tables")
     sub.add_argument("tables", nargs="+")
     return parser
@@ -62,7 +65,10 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> object:
     now = args.now or windows.to_business_time(datetime.now().astimezone()).replace(microsecond=0)
     if args.command in ("ingest", "backfill"):
         settings = ingest.IngestSettings(dead_letter_limit=args.dead_letter_limit)
-        messages = landing.scan_feed(spark, args.feed, platform=args.platform, updated_since=args.start)
+        since = args.start
+        if args.command == "ingest" and since is None and args.run_type == windows.INCREMENTAL:
+            since = state.oldest_needed(wh, feed.ORDERS_TABLE, settings.overlap)
+        messages = landing.scan_feed(spark, args.feed, platform=args.platform, updated_since=since)
         if args.command == "backfill":
             shops = config_files.parse_registry(config_files.load_document(args.shops))
             return backfill.backfill(
@@ -86,12 +92,18 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> object:
         )
     if args.command == "sync-rules":
         return state.sync_rules(wh, config_files.parse_rules(config_files.load_document(args.rules)), now)
+    if args.command == "expire":
+        return {name: gone for name in sorted(wh.names()) if (gone := wh.expire(name, args.keep))}
     shown = {
         "metrics": lambda: reporting.pipeline_metrics(wh, now),
         "chart": lambda: reporting.chart(wh, args.name),
         "counts": lambda: monitor.row_counts(wh, args.tables),
     }[args.command]()
-    shown.show(1000, truncate=False)
+    if args.out:
+        shown.write.mode("overwrite").json(args.out)
+    else:
+        for row in shown.toLocalIterator():
+            print(row.asDict())
     return None
 
 

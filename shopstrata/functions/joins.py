@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 #: Rows up to which a lookup side is sent to every executor.
 BROADCAST_ROWS = 500_000
 SALTS = 64
+#: Bytes up to which it is: text is counted as UTF-8, every other value as 16 bytes.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def _fits(lookup: DataFrame, max_rows: int, rows: int | None) -> bool:
+    """Whether the lookup is small in rows and bytes; one partial count, no rows are moved."""
+    if rows is not None and rows > max_rows:
+        return False
+    text = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in lookup.dtypes if t == "string"]
+    width = sum(text, F.lit(16 * len(lookup.columns)))
+    found = lookup.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("bytes")).first()
+    return found["n"] <= max_rows and (found["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def join_lookup(
@@ -23,7 +35,7 @@ def join_lookup(
     large part of ``big`` is spread over ``salts`` tasks by the hash of ``spread_by``.  With
     one salt it is an ordinary shuffled join.
     """
-    if (lookup.limit(max_rows + 1).count() if rows is None else rows) <= max_rows:
+    if _fits(lookup, max_rows, rows):
         return big.join(F.broadcast(lookup), list(on), how)
     if salts <= 1:
         return big.join(lookup, list(on), how)

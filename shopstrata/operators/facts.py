@@ -33,10 +33,10 @@ def dwd_orders(ods_orders: DataFrame, batch_id: str, mapping: StatusMap | None =
 
 
 def dwd_items(ods_items: DataFrame, batch_id: str) -> DataFrame:
-    """ODS items -> item facts; the line amount is NULL when quantity or price is."""
+    """ODS items -> item facts; the line amount is NULL when quantity or price is, or when it is no BIGINT."""
     return ods_items.select(
         "shop_id", "order_id", "item_id", "platform", "product_id", "product_name", "quantity", "price_cents",
-        (F.col("quantity").cast("bigint") * F.col("price_cents")).alias("amount_cents"),
+        F.try_multiply(F.col("quantity").cast("bigint"), F.col("price_cents")).alias("amount_cents"),
         "updated_at", F.lit(batch_id).alias("etl_batch_id"),
     )
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import canonical_json, clip, exact_ratio, int_div, wall
+from ..functions.joins import join_lookup
 from ..functions.text import VALUE_TEXT_LIMIT
 
 # Rule types, severities, and the names a rule may mention.
@@ -183,7 +184,7 @@ def _window_scope(
     if bounds is not None:
         rows = rows.where((F.col("updated_at") >= wall(bounds[0])) & (F.col("updated_at") < wall(bounds[1])))
     per_shop = (
-        rows.join(spans, ["shop_id", "platform"])
+        join_lookup(rows, spans, ["shop_id", "platform"], needed)
         .where(inside)
         .groupBy("shop_id", "platform")
         .agg(*[a for r in rules for a in r.aggregates])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import wall
+from ..functions.joins import join_lookup
 from ..functions.times import BUSINESS_ZONE
 
 # Re-read overlap, safety delay, start of history without a watermark, days
@@ -116,8 +117,7 @@ def window_row_counts(rows: DataFrame, windows: DataFrame) -> DataFrame:
     spans = windows.select("shop_id", "platform", "window_start", "window_end")
     inside = (F.col("updated_at") >= F.col("window_start")) & (F.col("updated_at") < F.col("window_end"))
     counted = (
-        rows.select("shop_id", "platform", "updated_at")
-        .join(spans, ["shop_id", "platform"])
+        join_lookup(rows.select("shop_id", "platform", "updated_at"), spans, ["shop_id", "platform"], "updated_at")
         .where(inside)
         .groupBy("shop_id", "platform")
         .agg(F.count(F.lit(1)).alias("_n"))

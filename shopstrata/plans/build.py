@@ -6,13 +6,14 @@ overwritten for the window, so the same window can be built again at any time.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, time, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.joins import join_lookup
 from ..functions.status import StatusMap
@@ -46,16 +47,45 @@ def periods(wh: Warehouse, since: date, end: date) -> set[str]:
 
 def _overwrite(wh: Warehouse, name: str, fresh: DataFrame, since: date, end: date, scope: DataFrame) -> None:
     """Replace the window of a dated table for the shops or platforms in ``scope``."""
-    upto = [p for p in wh.parts(name) if wh.period(since) <= p <= wh.period(end)]
+    wh.retried(lambda: _overwrite_once(wh, name, fresh, since, end, scope))
+
+
+def _overwrite_once(wh: Warehouse, name: str, fresh: DataFrame, since: date, end: date, scope: DataFrame) -> None:
+    at = wh.version(name)
+    upto = [p for p in sorted(at.parts) if wh.period(since) <= p <= wh.period(end)]
     if end == FOREVER:
         span = set(upto) | {r.part for r in fresh.select(wh.part_column(TABLES[name]).alias("part")).distinct().collect()}
     else:
         span = set(upto) | periods(wh, since, end)
     if not span:
         return
-    stored = wh.read_parts(name, span)
+    stored = wh.read_parts(name, span, at)
     rows = merge.overwrite_window(stored, fresh.select(*stored.columns), "stat_date", since, end, scope=scope)
-    wh.replace(name, rows, sorted(span))
+    wh.replace(name, rows, sorted(span), at=at)
+
+
+def _rates(df: DataFrame, name: str) -> dict[str, T.DataType]:
+    fields = TABLES[name].schema.fields
+    return {f.name: f.dataType for f in fields if isinstance(f.dataType, T.DecimalType) and f.name in df.columns}
+
+
+def _fitted(df: DataFrame, name: str) -> DataFrame:
+    """A rate or percentage that its stored column cannot hold becomes NULL; the rest of the report stands."""
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in _rates(df, name).items()})
+
+
+def _misfits(df: DataFrame, name: str) -> DataFrame:
+    """An alert for every row with such a value."""
+    lost = [
+        F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.concat(F.lit(f"{c}="), F.col(c).cast("string")))
+        for c, t in _rates(df, name).items()
+    ]
+    who = [F.col(c).cast("string") for c in ("stat_date", "platform", "shop_id") if c in df.columns]
+    found = df.select(F.concat_ws(" ", *who).alias("who"), F.concat_ws(", ", *lost).alias("what")).where("what <> ''")
+    return found.select(
+        F.concat(F.lit(f"value out of range: {name} "), "who").alias("title"), F.col("what").alias("text"),
+        F.lit("error").alias("level"),
+    )
 
 
 def refresh_calendar(wh: Warehouse, since: date, end: date, holidays: Mapping[date, str] | None = None) -> None:
@@ -64,19 +94,28 @@ def refresh_calendar(wh: Warehouse, since: date, end: date, holidays: Mapping[da
         F.lit(since - timedelta(days=before)).alias("first_day"), F.lit(end + timedelta(days=after)).alias("last_day")
     )
     fresh = dimensions.calendar(bounds, holidays)
-    stored = wh.read("dw.dim_date")
-    wh.replace(
-        "dw.dim_date", merge.refresh_columns(stored, fresh, "date_key", dimensions.REFRESHED_DATE_COLUMNS)
-    )
+
+    def refresh() -> None:
+        at = wh.version("dw.dim_date")
+        stored = wh.read_at("dw.dim_date", at)
+        rows = merge.refresh_columns(stored, fresh, "date_key", dimensions.REFRESHED_DATE_COLUMNS)
+        wh.replace("dw.dim_date", rows, at=at)
+
+    wh.retried(refresh)
 
 
 def sync_shops(wh: Warehouse, registry: DataFrame, effective: date) -> int:
     """Bring the shop dimension in line with the registry; returns the versions opened."""
-    versions = wh.read("dw.dim_shop")
+    return wh.retried(lambda: _sync_shops_once(wh, registry, effective))
+
+
+def _sync_shops_once(wh: Warehouse, registry: DataFrame, effective: date) -> int:
+    at = wh.version("dw.dim_shop")
+    versions = wh.read_at("dw.dim_shop", at)
     changes = wh.stage(dimensions.shop_changes(registry, versions, effective), "shops")
     opened = changes.df.where("change = 'open'").count()
     if not changes.df.isEmpty():
-        wh.replace("dw.dim_shop", dimensions.apply_shop_changes(versions, changes.df))
+        wh.replace("dw.dim_shop", dimensions.apply_shop_changes(versions, changes.df), at=at)
     changes.drop()
     return opened
 
@@ -109,7 +148,10 @@ def build_warehouse(
     shops_of = registry.select(*SHOP).withColumns(window)
     try:
         state.record_batches(wh, shops_of, status=state.RUNNING, **event)
-        summary, counts = _build(wh, registry, since, end, now, batch, status_map, holidays)
+        def alert(rows: DataFrame) -> None:
+            state.record_alerts(wh, rows, batch, now, min_level=alert_level, enabled=alerts_enabled)
+
+        summary, counts = _build(wh, registry, since, end, now, batch, status_map, holidays, alert)
         by_platform = platforms.withColumns({**window, "rows_read": F.lit(0), "rows_written": F.lit(0)})
         in_parallel(
             lambda: state.record_batches(wh, counts.withColumns(window), status=state.SUCCESS, ended_at=now, **event),
@@ -129,7 +171,7 @@ def build_warehouse(
 
 def _build(
     wh: Warehouse, registry: DataFrame, since: date, end: date, now: datetime, batch: str,
-    status_map: StatusMap | None, holidays: Mapping[date, str] | None,
+    status_map: StatusMap | None, holidays: Mapping[date, str] | None, alert: Callable[[DataFrame], None],
 ) -> tuple[BuildSummary, DataFrame]:
     """Three rounds of writes; those of one round only depend on earlier rounds."""
     keys = registry.select(*SHOP)
@@ -149,7 +191,13 @@ def _build(
     def product_dimension() -> None:
         products = dimensions.product_dimension(all_items, now)
         keyed = products.withColumn("product_key", F.xxhash64("shop_id", "product_id"))
-        wh.replace("dw.dim_product", merge.merge_replace(wh.read("dw.dim_product"), keyed, ["shop_id", "product_id"]))
+
+        def write() -> None:
+            at = wh.version("dw.dim_product")
+            stored = wh.read_at("dw.dim_product", at)
+            wh.replace("dw.dim_product", merge.merge_replace(stored, keyed, ["shop_id", "product_id"]), at=at)
+
+        wh.retried(write)
 
     _, opened, order_counts, items, *_ = in_parallel(
         lambda: refresh_calendar(wh, since, end, holidays),
@@ -173,8 +221,10 @@ def _build(
     platforms = keys.select("platform").distinct()
     kpi = reports.daily_kpi(shop_days.join(platforms, ["platform"], "left_semi"), since=since)
     in_parallel(
-        lambda: _overwrite(wh, "dw.ads_shop_overview", overview, since, FOREVER, keys),
-        lambda: _overwrite(wh, "dw.ads_daily_kpi", kpi, since, FOREVER, platforms),
+        lambda: _overwrite(wh, "dw.ads_shop_overview", _fitted(overview, "dw.ads_shop_overview"), since, FOREVER, keys),
+        lambda: _overwrite(wh, "dw.ads_daily_kpi", _fitted(kpi, "dw.ads_daily_kpi"), since, FOREVER, platforms),
+        # one append: two writers of one log would share its temporary folder
+        lambda: alert(_misfits(overview, "dw.ads_shop_overview").unionByName(_misfits(kpi, "dw.ads_daily_kpi"))),
     )
 
     read = (

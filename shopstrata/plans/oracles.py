@@ -37,7 +37,7 @@ FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_
 
 CTES["items_feed"] = """
 SELECT h.shop_id, h.order_id, CAST(l.l_linenumber AS VARCHAR) AS item_id, h.platform,
-       'P' || LPAD(CAST(l.l_partkey AS VARCHAR), 5, '0') AS product_id,
+       'P' || LPAD(CAST(l.l_partkey AS VARCHAR), GREATEST(5, LENGTH(CAST(l.l_partkey AS VARCHAR)))::INT, '0') AS product_id,
        p.p_name || ' ' || l.l_returnflag AS product_name,
        CASE WHEN l.l_orderkey % 89 = 0 THEN NULL ELSE CAST(l.l_quantity AS INT) END AS quantity,
        CAST(ROUND(l.l_extendedprice * 100) AS BIGINT) AS price_cents,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -104,9 +104,28 @@ def watermarks(wh: Warehouse, table_name: str) -> DataFrame:
     return wh.read(WATERMARKS).where(F.col("table_name") == table_name)
 
 
+def oldest_needed(wh: Warehouse, table_name: str, overlap: timedelta) -> datetime | None:
+    """Where the earliest window of a scheduled run starts.
+
+    None without watermarks, and as long as a shop that sent messages has none: its whole history
+    is still to be read.
+    """
+    marks, shop = watermarks(wh, table_name), ["shop_id", "platform"]
+    seen = ledger(wh).where((F.col("table_name") == table_name) & F.col("shop_id").isNotNull()).select(*shop).distinct()
+    if not seen.join(marks, shop, "left_anti").isEmpty():
+        return None
+    oldest = marks.agg(F.min("watermark_value")).first()[0]
+    return oldest - overlap if oldest is not None else None
+
+
 def advance(wh: Warehouse, reached: DataFrame, now: datetime) -> int:
     """Move watermarks forward; returns how many moved."""
-    state = wh.read(WATERMARKS)
+    return wh.retried(lambda: _advance_once(wh, reached, now))
+
+
+def _advance_once(wh: Warehouse, reached: DataFrame, now: datetime) -> int:
+    at = wh.version(WATERMARKS)
+    state = wh.read_at(WATERMARKS, at)
     after = wh.stage(windows.advance_watermarks(state, reached), "watermarks")
     moved = after.df.where("moved = 1").count()
     if moved:
@@ -116,7 +135,7 @@ def advance(wh: Warehouse, reached: DataFrame, now: datetime) -> int:
             F.coalesce("watermark_type", F.lit("updated_at")).alias("watermark_type"),
             F.when(F.col("moved") == 1, wall(now)).otherwise(F.col("_before")).alias("updated_at"),
         )
-        wh.replace(WATERMARKS, rows)
+        wh.replace(WATERMARKS, rows, at=at)
     after.drop()
     return moved
 
@@ -126,7 +145,12 @@ def advance(wh: Warehouse, reached: DataFrame, now: datetime) -> int:
 
 def sync_rules(wh: Warehouse, rules: Sequence[quality.Rule], now: datetime) -> dict[str, int]:
     """Register configured rules that are not known yet; existing ones are never touched."""
-    defs = wh.read(DEFS)
+    return wh.retried(lambda: _sync_rules_once(wh, rules, now))
+
+
+def _sync_rules_once(wh: Warehouse, rules: Sequence[quality.Rule], now: datetime) -> dict[str, int]:
+    at = wh.version(DEFS)
+    defs = wh.read_at(DEFS, at)
     specs = rules_frame(wh.spark, list(rules))
     fresh = [r.asDict() for r in quality.sync_rules(defs, specs).collect()]  # configuration: tens of rows
     if fresh:
@@ -136,7 +160,7 @@ def sync_rules(wh: Warehouse, rules: Sequence[quality.Rule], now: datetime) -> d
             (top + n, r["table_name"], r["rule_type"], r["params"], r["severity"], 1, now)
             for n, r in enumerate(order, start=1)
         ]
-        wh.replace(DEFS, defs.unionByName(wh.spark.createDataFrame(rows, TABLES[DEFS].schema)))
+        wh.replace(DEFS, defs.unionByName(wh.spark.createDataFrame(rows, TABLES[DEFS].schema)), at=at)
     return {"inserted": len(fresh), "skipped": len(rules) - len(fresh)}
 
 

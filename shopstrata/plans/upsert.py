@@ -33,7 +33,7 @@ class _Touched:
     incoming_rows: int
 
 
-def touched_partitions(wh: Warehouse, name: str, incoming: DataFrame) -> _Touched:
+def touched_partitions(wh: Warehouse, name: str, incoming: DataFrame, at) -> _Touched:
     """Partitions that hold an incoming row or an older version of one.
 
     A row may move to another period when its date changes, so the keys are looked up in the
@@ -45,11 +45,11 @@ def touched_partitions(wh: Warehouse, name: str, incoming: DataFrame) -> _Touche
     rows = conform(incoming, spec.schema)
     landing = {r.part: r["count"] for r in rows.groupBy(period).count().collect()}
     total = sum(landing.values())
-    elsewhere = [p for p in wh.parts(name) if p not in landing]
+    elsewhere = sorted(p for p in at.parts if p not in landing)
     if not landing or not elsewhere:
         return _Touched(sorted(landing), total)
     keys = list(spec.key)
-    older = wh.read_parts(name, elsewhere).select(*keys, period)
+    older = wh.read_parts(name, elsewhere, at).select(*keys, period)
     moved = join_lookup(older, rows.select(*keys), keys, keys[-1], "left_semi", salts=1, rows=total)
     found = {r.part for r in moved.select("part").distinct().collect()}
     return _Touched(sorted(set(landing) | found), total)
@@ -71,19 +71,24 @@ def _is_small(incoming: DataFrame, rows: int) -> bool:
 
 
 def upsert(wh: Warehouse, name: str, incoming: DataFrame, *, replace_equal: bool = False) -> MergeCounts:
-    """Monotonic merge of ``incoming`` into a stored table."""
+    """Monotonic merge of ``incoming`` into a stored table; done again if another writer was faster."""
+    return wh.retried(lambda: _upsert_once(wh, name, incoming, replace_equal))
+
+
+def _upsert_once(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: bool) -> MergeCounts:
     spec = TABLES[name]
-    touched = touched_partitions(wh, name, incoming)
+    at = wh.version(name)
+    touched = touched_partitions(wh, name, incoming, at)
     if not touched.parts:
         return MergeCounts()
     rows = conform(incoming, spec.schema)
-    stored = wh.read_parts(name, touched.parts)
+    stored = wh.read_parts(name, touched.parts, at)
     merged = merge_monotonic(
         stored, rows, spec.key, replace_equal=replace_equal, with_action=True,
-        broadcast_incoming=wh.exists(name) and _is_small(rows, touched.incoming_rows),
+        broadcast_incoming=bool(at.parts) and _is_small(rows, touched.incoming_rows),
     )
     seen = Observation()
     actions = ("inserted", "updated", "ignored", "kept")
     counted = merged.observe(seen, *[F.count_if(F.col(ACTION) == a).alias(a) for a in actions])
-    wh.replace(name, counted.drop(ACTION), touched.parts)
+    wh.replace(name, counted.drop(ACTION), touched.parts, at=at)
     return MergeCounts(**{a: seen.get[a] for a in actions})

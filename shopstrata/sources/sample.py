@@ -78,6 +78,12 @@ def ods_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def product_id(part: Column) -> Column:
+    """``P`` and at least five digits; longer numbers stay whole."""
+    text = part.cast("string")
+    return F.concat(F.lit("P"), F.lpad(text, F.greatest(F.lit(5), F.length(text)), "0"))
+
+
 def ods_items_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items as they arrive, with repeated keys."""
     lines = read(spark, sf_dir, "lineitem").select(
@@ -93,7 +99,7 @@ def ods_items_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").cast("string").alias("item_id"),
         "platform",
-        F.concat(F.lit("P"), F.lpad(F.col("l_partkey").cast("string"), 5, "0")).alias("product_id"),
+        product_id(F.col("l_partkey")).alias("product_id"),
         F.concat_ws(" ", "p_name", "l_returnflag").alias("product_name"),
         F.when(F.col("l_orderkey") % 89 != 0, F.col("l_quantity").cast("int")).alias("quantity"),
         _cents(F.col("l_extendedprice")).alias("price_cents"),

@@ -15,15 +15,18 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TABLES, TableSpec, conform
 
+Result = TypeVar("Result")
+
 #: Date patterns of a partition period, by grain.
 GRAINS = {"day": ("yyyy-MM-dd", "%Y-%m-%d"), "month": ("yyyy-MM", "%Y-%m"), "year": ("yyyy", "%Y")}
 WHOLE = "all"
@@ -142,13 +145,32 @@ class Warehouse:
             parts = {p: n for p, n in parts.items() if p <= self.period(end) or p == UNDATED}
         return self._load(spec, parts)
 
-    def read_parts(self, name: str, parts: Iterable[str]) -> DataFrame:
+    def version(self, name: str) -> _Pointer:
+        """The current state of a table; a write that is given it fails if another one came between."""
+        return self._pointer(name)
+
+    def read_at(self, name: str, at: _Pointer) -> DataFrame:
+        return self._load(TABLES[name], at.parts)
+
+    def read_parts(self, name: str, parts: Iterable[str], at: _Pointer | None = None) -> DataFrame:
         wanted = set(parts)
-        return self._load(TABLES[name], {p: n for p, n in self._pointer(name).parts.items() if p in wanted})
+        held = (at or self._pointer(name)).parts
+        return self._load(TABLES[name], {p: n for p, n in held.items() if p in wanted})
 
     def parts(self, name: str) -> list[str]:
         return sorted(self._pointer(name).parts)
 
+    @staticmethod
+    def retried(work: Callable[[], Result], tries: int = 10) -> Result:
+        """``work`` reads a table and writes it back; it is done again while other writers come between."""
+        for left in range(tries - 1, -1, -1):
+            try:
+                return work()
+            except ConcurrentWrite:
+                if not left:
+                    raise
+        raise AssertionError
+
     def part_column(self, spec: TableSpec):
         if not spec.dated_by:
             return F.lit(WHOLE)
@@ -156,18 +178,23 @@ class Warehouse:
 
     # ---- replacing -----------------------------------------------------------------------
 
-    def replace(self, name: str, df: DataFrame, parts: Sequence[str] | None = None) -> None:
+    def replace(
+        self, name: str, df: DataFrame, parts: Sequence[str] | None = None, *, at: _Pointer | None = None
+    ) -> None:
         """Replace ``parts`` (all by default) by the rows of ``df``.
 
+        ``at`` is the version that ``df`` was made from; if the table has moved on since, nothing
+        is published and ``ConcurrentWrite`` is raised.
+
         A partition of ``parts`` that ``df`` has no row for disappears.  Rows for many periods
         are rebalanced by period first, which splits a period that holds most of them over
         several files; for a few periods every task just writes to each of them.
         """
         spec = TABLES[name]
-        before = self._pointer(name)
+        before = at or self._pointer(name)
         number = before.number + 1
         base = self._dir(name)
-        attempt = f"{number:06d}{uuid.uuid4().int % 10**9:09d}"
+        attempt = f"{number:06d}-{uuid.uuid4().int % 10**9:09d}"
         target = f"{base}/snap={attempt}"
         filed = conform(df, spec.schema).withColumn("part", self.part_column(spec))
         if spec.dated_by and (parts is None or len(parts) > FEW_PARTS):
@@ -195,7 +222,7 @@ class Warehouse:
         }
         gone = 0
         for snap in (n for n in self._files.names(base) if n.startswith("snap=")):
-            if int(snap[5:11]) > numbers[-1]:
+            if int(snap[5:].partition("-")[0]) > numbers[-1]:
                 continue  # being written
             for part in (n for n in self._files.names(f"{base}/{snap}") if n.startswith("part=")):
                 if f"{snap}/{part}" not in live:

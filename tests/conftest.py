@@ -51,6 +51,10 @@ def order(n: int, *, updated: datetime = datetime(2026, 9, 1, 10), drop: tuple[s
     return {k: v for k, v in message.items() if k not in drop}
 
 
+#: The registry of the shop that ``order`` belongs to.
+NOW_SHOP = [{"shop_id": 1, "platform": "canned", "shop_name": "one", "status": "active"}]
+
+
 def item(item_id: str, product: str, quantity=1, price="1.00") -> dict:
     return {"item_id": item_id, "product_id": product, "product_name": "thing", "quantity": quantity, "price": price}
 

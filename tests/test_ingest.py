@@ -138,13 +138,33 @@ def test_raw_text_is_kept(spark, wh):
 
 
 def test_unreadable_text_counts_against_the_whole_batch(spark, wh):
-    with pytest.raises(DeadLetterLimitExceeded):
+    with pytest.raises(DeadLetterLimitExceeded) as failure:
         ingest_batch(wh, messages(spark, [order(1), "not json"]), now=NOW)
-    assert wh.read("dw.ods_orders").count() == 0
-    result = ingest_batch(wh, messages(spark, [order(1), "not json"]), now=NOW, settings=IngestSettings(dead_letter_limit=1.5))
+    assert failure.value.result.orders.inserted == 1  # the shops themselves are not held up
+    assert "error" in column(wh.read_log(state.ALERTS), "level")
+    rows = messages(spark, [order(2), "no json either"])
+    result = ingest_batch(wh, rows, now=NOW, run_type="full", settings=IngestSettings(dead_letter_limit=1.5))
     assert result.orders.inserted == 1
 
 
+def test_an_untimed_message_counts_once(spark, wh):
+    bad = order(99, updated_at="some day")
+    with pytest.raises(DeadLetterLimitExceeded):
+        ingest_batch(wh, messages(spark, [order(i) for i in range(4)] + [bad]), now=NOW)
+    again = ingest_batch(wh, messages(spark, [order(i) for i in range(6)] + [bad]), now=NOW)
+    assert (again.dead_letters, again.orders.inserted, again.watermarks_moved) == (0, 6, 1)
+    assert wh.read_log(state.ERRORS).where("error_type = 'mapper_error'").select("raw_row").distinct().count() == 1
+
+
+def test_pruning_waits_for_shops_without_a_watermark(spark, wh):
+    rows = [order(i) for i in range(5)] + [order(50, shop_id=2, order_amount="abc")]
+    with pytest.raises(DeadLetterLimitExceeded):
+        ingest_batch(wh, messages(spark, rows), now=NOW)
+    assert state.oldest_needed(wh, "dw.ods_orders", timedelta(hours=1)) is None
+    ingest_batch(wh, messages(spark, [order(51, shop_id=2)]), now=NOW)
+    assert state.oldest_needed(wh, "dw.ods_orders", timedelta(hours=1)) == NOW - timedelta(hours=1, minutes=5)
+
+
 RULES = [
     Rule("dw.ods_orders", "null_rate", {"column": "buyer_nick", "max_rate": 0.0}, "block"),
     Rule("dw.ods_orders", "unique", {"columns": ["order_id"]}, "block"),
