@@ -62,5 +62,5 @@ def test_command_line(spark, tmp_path, capsys):
     assert "checks=1" in call("scan", "--shops", str(tmp_path / "shops.json"))
     assert "3702" in call("chart", "gmv_total")
     assert "etl_task_duration_ms_p95" in call("metrics")
-    assert "|3" in call("counts", "dw.ods_orders")
+    assert ": 3}" in call("counts", "dw.ods_orders")
     assert column(Warehouse(spark, root).read_log(state.TASKS), "status") == ["success", "success"]
