@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import SparkSession
@@ -11,6 +12,7 @@ from .operators import feed, windows
 from .operators.charts import CHARTS
 from .plans import backfill, build, ingest, monitor, reporting, state
 from .sources import config_files, landing
+from .sources.config_files import registry_frame
 from .sources.tables import GRAINS, Warehouse
 from .streaming.order_stream import start_order_stream
 
@@ -36,6 +38,10 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--start", type=datetime.fromisoformat, required=name == "backfill")
         sub.add_argument("--end", type=datetime.fromisoformat)
         if name == "ingest":
+            sub.add_argument("--shops", help="registry of shops whose watermark advances even if they sent nothing")
+            sub.add_argument("--overlap", type=float, default=60, help="minutes before the watermark that are read again")
+            sub.add_argument("--delay", type=float, default=5, help="minutes before now that are left to the next run")
+            sub.add_argument("--no-checks", action="store_true", help="do not run the data-quality rules")
             sub.add_argument("--run-type", choices=(windows.INCREMENTAL, windows.FULL), default=windows.INCREMENTAL)
         else:
             sub.add_argument("--shops", required=True)
@@ -65,17 +71,27 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> object:
     now = args.now or windows.to_business_time(datetime.now().astimezone()).replace(microsecond=0)
     if args.command in ("ingest", "backfill"):
         settings = ingest.IngestSettings(dead_letter_limit=args.dead_letter_limit)
+        if args.command == "ingest":
+            settings = replace(
+                settings, overlap=timedelta(minutes=args.overlap), delay=timedelta(minutes=args.delay),
+                run_checks=not args.no_checks,
+            )
         since = args.start
         if args.command == "ingest" and since is None and args.run_type == windows.INCREMENTAL:
             since = state.oldest_needed(wh, feed.ORDERS_TABLE, settings.overlap)
         messages = landing.scan_feed(spark, args.feed, platform=args.platform, updated_since=since)
         if args.command == "backfill":
             shops = config_files.parse_registry(config_files.load_document(args.shops))
-            return backfill.backfill(
+            return state.run_task(wh, "backfill", "backfill", lambda: backfill.backfill(
                 wh, messages, shops, start=args.start, end=args.end, now=now, settings=settings
-            )
+            ))
         kind, window = windows.resolve_run(windows.BACKFILL if args.start else args.run_type, args.start, args.end)
-        return ingest.ingest_batch(wh, messages, now=now, run_type=kind, window=window, settings=settings)
+        silent = None
+        if args.shops:
+            silent = registry_frame(spark, config_files.parse_registry(config_files.load_document(args.shops)))
+        return state.run_task(wh, "ingest", "ingest", lambda: ingest.ingest_batch(
+            wh, messages, now=now, run_type=kind, window=window, settings=settings, shops=silent
+        ))
     if args.command == "stream":
         levels = tuple(x for x in args.levels.split(",") if x)
         return start_order_stream(

@@ -265,6 +265,8 @@ def batch_averages(ledger: DataFrame, lookback: int) -> DataFrame:
 def _row_count_delta(rule: Rule, ledger: DataFrame, batch_rows: DataFrame, run_type: str) -> DataFrame:
     limit = float(rule.param("max_deviation"))
     lookback = int(rule.params.get("lookback_batches", DEFAULT_LOOKBACK))
+    if "table_name" in batch_rows.columns:
+        batch_rows = batch_rows.where(F.col("table_name") == rule.table_name)
     current = batch_rows.select("shop_id", "platform", "rows_read")
     if run_type != "incremental":
         skipped = _verdict(rule, F.lit(True), F.lit("-"), "-", F.lit(f"skipped: run type {run_type}"))
@@ -311,7 +313,7 @@ def run_checks(
     run_type: str = "incremental",
     bounds: tuple[datetime, datetime] | None = None,
 ) -> DataFrame:
-    """Verdicts of all rules.
+    """Verdicts of all rules. ``batch_rows`` holds for all tables, or names the table of each row.
 
     Verdicts over a window carry the shop and platform; verdicts over a whole table carry
     NULL there and apply to every shop.

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 from typing import Any
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import wall
@@ -54,10 +56,16 @@ def scan_quality(
     # a reference rule may point at any stored table, not only at the scanned ones
     parents = {str(r.params["parent_table"]) for r in rules if r.params.get("parent_table") in wh.names()}
     frames = {name: wh.read(name) for name in {*tables, *parents}}
+    counted = [
+        windows.window_row_counts(frames[name], spans)
+        .withColumnRenamed("rows_in_window", "rows_read")
+        .withColumn("table_name", F.lit(name))
+        for name in tables
+    ]
     verdicts = wh.stage(
         quality.run_checks(
             frames, rules, now=now, windows=spans, ledger=state.ledger(wh),
-            batch_rows=windows.window_row_counts(frames[tables[0]], spans).withColumnRenamed("rows_in_window", "rows_read"),
+            batch_rows=reduce(DataFrame.unionByName, counted),
             run_type="monitor", bounds=(start, now),
         ),
         "scan",

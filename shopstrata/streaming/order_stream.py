@@ -15,6 +15,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..plans import state
 from ..plans.ingest import STREAM, IngestFailed, IngestSettings, ingest_batch
 from ..sources.landing import stream_feed
 from ..sources.tables import Warehouse
@@ -42,9 +43,9 @@ def start_order_stream(
 
     def handle(messages: DataFrame, epoch: int) -> None:
         try:
-            ingest_batch(
+            state.run_task(wh, "stream", "micro_batch", lambda: ingest_batch(
                 wh, messages, now=clock(), run_type=STREAM, settings=settings, batch_id=f"stream-{stream_id}-{epoch:09d}"
-            )
+            ))
         except IngestFailed:
             pass  # recorded by the batch; other errors stop the stream and are replayed
 

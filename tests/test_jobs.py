@@ -57,10 +57,10 @@ def test_command_line(spark, tmp_path, capsys):
         return capsys.readouterr().out
 
     assert "'inserted': 1" in call("sync-rules", "--rules", str(tmp_path / "rules.json"))
-    assert "inserted=3" in call("ingest", "--feed", str(tmp_path / "feed"))
+    assert "inserted=3" in call("ingest", "--feed", str(tmp_path / "feed"), "--shops", str(tmp_path / "shops.json"))
     assert "shop_versions_added=2" in call("build", "--shops", str(tmp_path / "shops.json"))
     assert "checks=1" in call("scan", "--shops", str(tmp_path / "shops.json"))
     assert "3702" in call("chart", "gmv_total")
     assert "etl_task_duration_ms_p95" in call("metrics")
     assert ": 3}" in call("counts", "dw.ods_orders")
-    assert column(Warehouse(spark, root).read_log(state.TASKS), "status") == ["success", "success"]
+    assert column(Warehouse(spark, root).read_log(state.TASKS), "dag_id") == ["build", "ingest", "scan"]
