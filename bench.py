@@ -1,8 +1,9 @@
 """Headline timings on one node; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default: all cores) and BENCH_RUNS
-(default 3) set data, cores and warm runs per query.  A query is timed to its last row (a
-``noop`` sink); jobs are timed on stored tables in a temporary warehouse.
+(default 3) set data, cores and warm runs per query, BENCH_ROOT the folder of the warehouse.
+A query is timed to its last row (a ``noop`` sink); jobs are timed on stored tables in a
+temporary warehouse.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from shopstrata.plans import build, upsert  # noqa: E402
+from shopstrata.plans import build, ingest, upsert  # noqa: E402
 from shopstrata.plans.queries import QUERIES  # noqa: E402
 from shopstrata.sources import sample  # noqa: E402
 from shopstrata.sources.tables import Warehouse  # noqa: E402
@@ -65,7 +66,8 @@ def query_seconds(spark: SparkSession, name: str) -> float:
 
 def job_seconds(spark: SparkSession) -> tuple[dict[str, float], int]:
     """Bulk load of orders and items, the same load again, and a full build on top."""
-    wh = Warehouse(spark, tempfile.mkdtemp(prefix="bench-"), grain="year")
+    root = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("BENCH_ROOT"))
+    wh = Warehouse(spark, root, grain="year")
     extra = {"raw_json": F.lit("{}"), "etl_batch_id": F.lit("bench")}
     orders = wh.stage(sample.ods_orders(spark, SF_DIR).withColumns(extra), "orders").df
     items = wh.stage(sample.ods_items(spark, SF_DIR).withColumns(extra), "items").df
@@ -90,6 +92,11 @@ def job_seconds(spark: SparkSession) -> tuple[dict[str, float], int]:
     out["full_build_first"] = timed(full_build)
     out["full_build"] = statistics.median(timed(full_build) for _ in range(max(1, RUNS - 1)))
     out["rebuild_3_days"] = timed(rebuild)
+    feed_wh = Warehouse(spark, f"{root}/feed", grain="year")
+    messages = sample.feed_messages(spark, SF_DIR)
+    given = {"now": datetime(2001, 8, 1), "settings": ingest.IngestSettings(dead_letter_limit=0.0)}
+    out["ingest_batch"] = timed(lambda: ingest.ingest_batch(feed_wh, messages, run_type="full", **given))
+    out["ingest_stream_batch"] = timed(lambda: ingest.ingest_batch(feed_wh, messages, run_type=ingest.STREAM, **given))
     return out, rows
 
 

@@ -38,7 +38,7 @@ def test_bad_rows_become_dead_letters_and_the_batch_goes_on(spark, wh):
     letters = wh.read_log(state.ERRORS).collect()
     assert sorted(x.error_type for x in letters) == ["mapper_error"] * 3 + ["parent_rejected"]
     assert any("invalid value abc" in x.error_msg for x in letters)
-    assert any("user100" in x.raw_row for x in letters)
+    assert any("buyer-100" in x.raw_row for x in letters)
     assert last_status(wh) == {SHOP: "success"}
 
 
