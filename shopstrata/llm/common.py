@@ -16,7 +16,7 @@ ROOT = str(Path(__file__).resolve().parents[2])
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACES = " \t\n\x0b\x0c\r"
 #: Text that one Python step holds at a time; a single longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def ship(spark: SparkSession) -> None:

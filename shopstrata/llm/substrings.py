@@ -94,7 +94,7 @@ def word_codes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each word, and where it starts. Long texts are read in pieces that end behind a white space."""
     codes, starts, at = [], [], 0
     while at < len(text):
-        end = min(len(text), at + (4 << 20))
+        end = min(len(text), at + (1 << 19))
         while end < len(text) and text[end - 1] not in b" \t\n\x0b\x0c\r":
             end = min(len(text), end + 256)
         piece = np.frombuffer(text, np.uint8, end - at, at)
