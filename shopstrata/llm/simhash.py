@@ -7,8 +7,10 @@ A fingerprint is therefore entered in the grid cell of its vector and in the cel
 only fingerprints in one cell are compared, bit by bit.
 
 Cells are never joined with themselves beyond ``CELL_PAIRS`` members. In a fuller cell every member
-lists the fingerprints inside the cell at one flipped bit or none from its own: two members that
-share one are linked, at most 65 fingerprints can share one, and no link of the cell is missed.
+lists the fingerprints inside the cell at one flipped bit or none from its own, and members of the
+cell's own vector those with one bit cleared as well, as two of them differ by a bit up and a bit
+down. Two members that share one are linked, at most 65 fingerprints can share one, and no link of
+the cell is missed.
 
 Equal fingerprints are one node, so a group of copies costs one row. A null or empty text and one
 without words has the fingerprint zero. Rows with a null ``doc_id`` get the class of their
@@ -98,11 +100,16 @@ def cells(nodes: DataFrame) -> DataFrame:
 
 
 def _inside(fp: Column, move: Column) -> Column:
-    """The fingerprints of the entered cell at one flipped bit or none from ``fp``."""
+    """The fingerprints of the entered cell at one flipped bit or none from ``fp``, for ``move`` 0 those with one bit cleared too.
+
+    Two of one vector at distance 2 share the one without the bit that either has alone. The cell
+    around theirs that holds it may be compared pairwise, where they are left out.
+    """
     every = F.array(*(F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(SEGMENTS * WIDTH)))
     bits = F.slice(every, (F.abs(move) - 1) * WIDTH + 1, F.lit(WIDTH))
     fitting = F.filter(bits, lambda b: (fp.bitwiseAND(b) == 0) == (move > 0))
-    return F.when(move == 0, F.array(fp)).otherwise(F.transform(fitting, lambda b: fp.bitwiseXOR(b)))
+    cleared = F.transform(F.filter(every, lambda b: fp.bitwiseAND(b) != 0), lambda b: fp.bitwiseXOR(b))
+    return F.when(move == 0, F.concat(F.array(fp), cleared)).otherwise(F.transform(fitting, lambda b: fp.bitwiseXOR(b)))
 
 
 def links(nodes: DataFrame, most_bits: int = MOST_BITS, cell_pairs: int = CELL_PAIRS) -> DataFrame:

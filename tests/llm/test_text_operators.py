@@ -293,6 +293,28 @@ def test_links_hold_in_full_cells(spark, cell_pairs):
     assert mine == brute_classes(prints)
 
 
+def test_links_hold_in_a_full_cell_among_small_ones(spark):
+    r = np.random.default_rng(9)
+    by_count = {n: [b for b in range(16) if b.bit_count() == n] for n in range(5)}
+
+    def of(counts):
+        parts = [by_count[n] for n in counts]
+        parts[15] = [b for b in parts[15] if b < 8]
+        return sum(int(r.choice(p)) << 4 * s for s, p in enumerate(parts))
+
+    own = [2] * 16
+    first = of(own) & ~15 | 0b0011
+    second = first & ~15 | 0b0101  # one bit up, one down in segment 0
+    around = {of([n + (s == at) * (-1) ** k for s, n in enumerate(own)]) for at in range(1, 15) for k in range(6)}
+    prints = {i: p for i, p in enumerate(sorted({first, second} | around))}
+    nodes = spark.createDataFrame([(p, i) for i, p in prints.items()], "fp long, node long")
+    sizes = {r["cell"]: r["count"] for r in simhash.cells(nodes).groupBy("cell").count().collect()}
+    shared = sum(2 << 3 * s for s in range(16))
+    assert sizes[shared] > simhash.CELL_PAIRS and sizes[shared + 1] == sizes[shared - 1] == 2
+    mine = {i: i for i in prints} | {r.node: r.component for r in components(simhash.links(nodes)).collect()}
+    assert mine == brute_classes(prints) and len(set(mine.values())) < len(prints)
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1001), (5, 5), (None, 3)]
     found = dict(rows_of(components(spark.createDataFrame(edges, "a long, b long"))))
