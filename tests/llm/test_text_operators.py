@@ -230,6 +230,34 @@ def test_quality_rejects_junk_and_keeps_clean(spark):
     assert sum(not r.kept for r in pairs if r.quality == 0) / max(1, sum(r.quality == 0 for r in pairs)) > 0.9
 
 
+def test_every_statistic_rejects_by_itself(spark):
+    r = np.random.default_rng(4)
+
+    def words(n, letters=6):
+        return ["".join(w) for w in r.choice(list("abcdefghijklmnopqrstuvwxyz"), (n, letters))]
+
+    inner = [" ".join(words(int(n))) for n in r.integers(80, 120, 300)]
+    few, order = words(5), [0, 0, 0]
+    seen = {(0, 0, 0)}
+    while len(order) < 100:  # no three lines in a row come twice
+        fresh = [k for k in range(4, -1, -1) if (*order[-2:], k) not in seen]
+        order.append(fresh[0])
+        seen.add(tuple(order[-3:]))
+    odd = {
+        "length": " ".join(words(20_000)),
+        "word_length": " ".join(words(100, 60)),
+        "symbols": " ".join(["#####" + w for w in words(100)]),
+        "dup_lines": "\n".join(few[k] for k in order),
+        "repeats": " ".join(words(52) + words(8) * 6),
+    }
+    rows = [(i, t, "en", "s") for i, t in enumerate([*inner, *odd.values()])]
+    found = {x.doc_id: x for x in outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert sum(found[i].kept for i in range(300)) > 295
+    last = dict(zip(odd, (found[300 + k] for k in range(5)), strict=True))
+    assert not any(x.base_failed or x.kept for x in last.values()), last
+    assert last["dup_lines"].n_repeat_words == 0 and last["repeats"].n_dup_lines == 0
+
+
 def test_chi_square():
     assert abs(outliers.chi_square(11.0705, 5) - 0.95) < 1e-5
     assert abs(outliers.chi_square_cutoff(0.05, 5) - 11.0705) < 1e-3
