@@ -6,8 +6,9 @@ template's t words, a block must hold one of the template's t - need + 1 rarest
 filter), have ``need`` words at all (length filter), and, where the first common word is met, have
 enough words left behind it on both sides (positional filter). What is left is counted exactly.
 
-Blocks are lines; a line over ``BLOCK`` words is read as blocks of ``BLOCK`` words every ``STRIDE``,
-so a notice of up to ``STRIDE`` words is always whole in one. Templates and phrases are parameters
+Blocks are lines, and the whole text as one line, for notices that wrap over lines; what is over
+``BLOCK`` words is read as blocks of ``BLOCK`` words every ``STRIDE``, so a notice of up to
+``STRIDE`` words is always whole in one. Templates and phrases are parameters
 of a few hundred words and go to every task; the corpus is never shuffled.
 
 A null text is empty: no words, no labels, score 0. Repeated rows give repeated rows.
@@ -155,7 +156,7 @@ def scan_text(text: bytes, index: Index, phrases: list[tuple[list[bytes], str]],
                 places.append(at)
                 base.add(label)
     scores: dict[str, float] = {}
-    for block in blocks(lines):
+    for block in blocks([*lines, words] if len(lines) > 1 else lines):
         found = index.best(block)
         if found:
             scores[found[0]] = max(found[1], scores.get(found[0], 0.0))

@@ -440,3 +440,16 @@ def test_license_join_finds_all_templates(spark):
     for i, label in enumerate(licenses.TEMPLATES):
         assert label in found[i].labels.split(",") and found[i].score == 1.0
     assert "bsd" in found[99].labels
+
+
+def license_labels(text, templates=licenses.TEMPLATES):
+    index = licenses.Index.of(templates, {}, licenses.THRESHOLD)
+    return set(licenses.scan_text(text.encode(), index, [], list(index.by_word))[5].split(","))
+
+
+@pytest.mark.parametrize("label", ["apache-2.0", "bsd", "mit-text", "isc", "gpl-3.0"])
+def test_licenses_wrapped_over_lines(label):
+    words = licenses.TEMPLATES[label].split()
+    half = len(words) // 2
+    wrapped = "z " * 70 + "\n" + " ".join(words[:half]) + "\n" + " ".join(words[half:]) + "\n" + "z " * 70
+    assert license_labels(wrapped) == {label}
