@@ -11,6 +11,9 @@ Blocks are lines, and the whole text as one line, for notices that wrap over lin
 ``STRIDE`` words is always whole in one. Templates and phrases are parameters
 of a few hundred words and go to every task; the corpus is never shuffled.
 
+A block has every template found in it, except where all words of one lie within a fuller one's at
+the same place, as cc-by's do within cc-by-sa's.
+
 A null text is empty: no words, no labels, score 0. Repeated rows give repeated rows.
 """
 
@@ -71,6 +74,23 @@ def blocks(words_by_line: list[list[bytes]]) -> Iterator[list[bytes]]:
             yield words[at : at + BLOCK]
 
 
+def _outside(block: list[bytes], words: set[bytes], need: int, telling: set[bytes]) -> set[bytes]:
+    """Words outside the shortest stretches of the block that hold at least ``need`` of ``words``, one of ``telling`` among them."""
+    rest: list[bytes | None] = list(block)
+    while True:
+        present = words.intersection(rest)
+        if len(present) < need or telling and not telling & present:
+            return set(rest) - {None}
+        last: dict[bytes, int] = {}
+        start, end = 0, len(rest)
+        for at, word in enumerate(rest):
+            if word in present:
+                last[word] = at
+                if len(last) == len(present) and at + 1 - min(last.values()) < end - start:
+                    start, end = min(last.values()), at + 1
+        rest[start:end] = [None] * (end - start)
+
+
 @dataclass
 class Index:
     """Templates by their rarest words."""
@@ -79,10 +99,22 @@ class Index:
     templates: list[tuple[str, list[bytes], int]]  # label, words from rare to frequent, words needed
     by_word: dict[bytes, list[tuple[int, int]]]  # word of a prefix -> (template, place)
 
-    def best(self, block: list[bytes]) -> tuple[str, float] | None:
-        """A block has one license: the most complete template, of equal ones the longest."""
-        sizes = {label: len(words) for label, words, _ in self.templates}
-        return max(self.join(block).items(), key=lambda x: (x[1], sizes[x[0]], x[0]), default=None)
+    def all(self, block: list[bytes]) -> dict[str, float]:
+        """Every template of the block, without those found only within the words of a fuller one."""
+        found = self.join(block)
+        if len(found) < 2:
+            return found
+        own = {label: (words, need) for label, words, need in self.templates}
+        held = set(block)
+        shared = {label: held.intersection(own[label][0]) for label in found}
+        order = sorted(found, key=lambda x: (len(shared[x]), found[x], len(own[x][0]), x), reverse=True)
+        out: dict[str, float] = {}
+        for label in order:
+            words, need = own[label]
+            fuller = [(shared[x], own[x][1], shared[x] - shared[label]) for x in out if shared[label] <= shared[x]]
+            if all(len(_outside(block, *x).intersection(words)) >= need for x in fuller):
+                out[label] = found[label]
+        return out
 
     @staticmethod
     def of(templates: dict[str, str], counts: dict[str, int], threshold: float) -> Index:
@@ -157,9 +189,8 @@ def scan_text(text: bytes, index: Index, phrases: list[tuple[list[bytes], str]],
                 base.add(label)
     scores: dict[str, float] = {}
     for block in blocks([*lines, words] if len(lines) > 1 else lines):
-        found = index.best(block)
-        if found:
-            scores[found[0]] = max(found[1], scores.get(found[0], 0.0))
+        for label, found in index.all(block).items():
+            scores[label] = max(found, scores.get(label, 0.0))
     score = 1.0 if base else max(scores.values(), default=0.0)
     first, last = (min(places), max(places)) if places else (None, None)
     return len(words), len(places), first, last, ",".join(sorted(base)), ",".join(sorted({*base, *scores})), score

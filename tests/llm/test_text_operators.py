@@ -453,3 +453,13 @@ def test_licenses_wrapped_over_lines(label):
     half = len(words) // 2
     wrapped = "z " * 70 + "\n" + " ".join(words[:half]) + "\n" + " ".join(words[half:]) + "\n" + "z " * 70
     assert license_labels(wrapped) == {label}
+
+
+def test_licenses_of_one_block():
+    both = "Code is released under the MIT license, data licensed under the Apache License version 2.0"
+    assert license_labels(both) == {"mit", "apache-2.0"}
+    assert license_labels("Licensed under CC BY-SA 4.0") == {"cc-by-sa-4.0"}
+    assert license_labels("Licensed under CC BY 4.0") == {"cc-by-4.0"}
+    two = "Text licensed under CC BY-SA 4.0, pictures licensed under CC BY 4.0"
+    assert license_labels(two) == {"cc-by-sa-4.0", "cc-by-4.0"}
+    assert license_labels("Licensed under CC BY-SA 4.0. Again: licensed under CC BY-SA 4.0") == {"cc-by-sa-4.0"}
