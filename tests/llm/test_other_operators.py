@@ -199,3 +199,11 @@ def test_pipeline_decisions(spark, docs):
         assert len(fourth.get(r.doc_id, "").split()) == r.n_words - r.n_removed
     whole = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in whole.collect()} == set(fourth)
+
+
+def test_language_stage_without_labels_keeps_lettered_texts(spark, odd, odd_rows):
+    from pyspark.sql import functions as F
+
+    stage = dict(corpus_pipeline.STAGES)["language ID"]
+    kept = stage(spark, odd.withColumn("lang", F.lit(None).cast("string")), SF)
+    assert kept.count() == sum(any(c.isalpha() for c in t or "") for _, t, *_ in odd_rows)
