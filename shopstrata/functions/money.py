@@ -21,11 +21,13 @@ def exact_ratio(num: Column, den: Column, *, scale: int = 10_000, unit: int = 1)
     """``num / den * unit`` rounded half away from zero to ``1/scale``, as a double.
 
     Rounding happens on integers, so the value does not depend on how an engine rounds
-    doubles.  20-digit decimals keep sums over very large groups from overflowing.
+    doubles.  20-digit decimals keep sums over very large groups from overflowing, and the
+    quotient stays a decimal: integer division of decimals would wrap beyond a BIGINT.
     NULL when ``den`` is 0 or either side is NULL.
     """
     n = F.abs(num.cast("decimal(20,0)"))
     d = F.nullif(F.abs(den.cast("decimal(20,0)")), F.lit(0).cast("decimal(20,0)"))
-    steps = F.call_function("div", n * F.lit(2 * scale * unit) + d, d * F.lit(2))
+    twice = n * F.lit(2 * scale * unit) + d
+    steps = ((twice - twice % (d * F.lit(2))) / (d * F.lit(2))).cast("decimal(38,0)")
     sign = F.when((num < 0) != (den < 0), -1).otherwise(1)
     return (steps * sign).cast("double") / F.lit(float(scale))

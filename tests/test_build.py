@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import column, item, messages, order
+from feed_messages import column, item, messages, order
 
 from shopstrata.operators.compare import table_diff
 from shopstrata.operators.quality import Rule

@@ -44,6 +44,17 @@ def test_ratio_is_exact(spark, pairs):
             assert value == float(steps) / 10_000.0
 
 
+def test_ratio_beyond_a_bigint_of_steps_does_not_wrap(spark):
+    pairs = [(9_223_372_036_855, 1), (20_000_000_000_000, 1), (-(2**63), 1), (2**63 - 1, -3), (18_446_744_073_710, 1)]
+    df = spark.createDataFrame(pairs, "n bigint, d bigint")
+    got = [r[0] for r in df.select(exact_ratio(F.col("n"), F.col("d"), unit=100)).collect()]
+    for (n, d), value in zip(pairs, got, strict=True):
+        assert value == float((Decimal(n) * 1_000_000 / Decimal(d)).quantize(Decimal(1), ROUND_HALF_UP)) / 10_000.0
+    # the last one, wrapped to 64 bits, would have been a percentage that its column can hold
+    fits = df.where("n = 18446744073710").select(exact_ratio(F.col("n"), F.col("d"), unit=100).try_cast("decimal(12,4)"))
+    assert fits.first()[0] is None
+
+
 def test_int_div_truncates_and_guards_zero(spark):
     df = spark.createDataFrame([(7, 2), (-7, 2), (7, 0)], "a bigint, b bigint")
     assert [r[0] for r in df.select(int_div(F.col("a"), F.col("b"))).collect()] == [3, -3, None]

@@ -6,7 +6,7 @@ from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import column, item, messages, order
+from feed_messages import column, item, messages, order
 
 from shopstrata.operators.quality import Rule
 from shopstrata.operators.windows import TimeWindow

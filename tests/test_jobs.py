@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from datetime import date, datetime, timedelta
 
-from conftest import column, messages, order
+from feed_messages import column, messages, order
 
 from shopstrata.__main__ import main
 from shopstrata.operators.charts import CHARTS

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from datetime import datetime, timedelta
 
-from conftest import column, messages, order
+from feed_messages import column, messages, order
 
 from shopstrata.operators.compare import table_diff
 from shopstrata.plans import state

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
-from conftest import NOW_SHOP, column, messages, order
+from feed_messages import NOW_SHOP, column, messages, order
 
 from shopstrata.operators import feed
 from shopstrata.plans import build, state
