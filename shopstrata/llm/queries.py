@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, html_blocks, language_id, licenses, outliers, packing, reputation, simhash, substrings, topk
+from . import alignment, bpe_codec, hard_negatives, html_blocks, language_id, licenses, outliers, packing
+from . import personal_data, reputation, simhash, substrings, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +182,44 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 @query
 def op10_license_scan(spark, d):
     return licenses.scan(table(spark, d, "documents"))
+
+
+@query
+def op11_slot_negatives(spark, d):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, d, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95)
+
+
+SQL["op11_slot_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           CAST(list_inner_product(CAST(a.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM v a JOIN v c ON c.vec_id <> a.vec_id AND len(c.v) = len(a.v) WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth FROM scored WHERE same
+), negatives AS (
+    SELECT anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+    FROM positives p JOIN scored n USING (anchor_id)
+    WHERE p.nth <= 5 AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+"""
+
+
+@query
+def op12_pair_alignment(spark, d):
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, d, "documents"), *paths)
+
+
+@query
+def op13_personal_data(spark, d):
+    return personal_data.find(table(spark, d, "documents"))
