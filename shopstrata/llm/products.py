@@ -15,7 +15,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LOW, HIGH = -(2**63), 2**63 - 1
+LOW, HIGH = -(2**63) + 1, 2**63 - 1
 
 
 def complete(vector: str) -> Column:

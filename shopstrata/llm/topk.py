@@ -8,8 +8,9 @@ pass, least ids first, so ties of a frequent vector cost no more.
 
 Queries are taken in blocks of about ``BLOCK`` rows; a block is all that is ever sent to every task.
 
-Components are floor(scale * x). Null ids, null vectors, and vectors with null, non-finite or
-(after scaling) over 2**26 large components take no part. Only vectors of equal length are scored.
+Components are floor(scale * x), whatever their size: scores are exact, and one beyond a long's range
+counts as the nearest long. Null ids, null vectors, and vectors with null or non-finite components take
+no part. Only vectors of equal length are scored.
 Rows with a query's id are the query's own; of several with one id the least vector asks. Other
 repeated rows are candidates each. A query without candidates has no rows.
 """
@@ -24,50 +25,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, ship
+from .products import HIGH, by_size, complete, products
 
-BLOCK = 2048
+BLOCK = 8192
 BINS = 256
-LARGEST = float(1 << 26)
 #: Scores that one step holds at a time.
 STEP_SCORES = 1 << 22
+#: Components of one block at most: 64 MB as doubles.
+BLOCK_NUMBERS = 1 << 23
 
 
-def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """``vec_id`` and ``v``, the scaled components; rows that take no part are left out."""
-    odd = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) > LARGEST / scale))
-    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))
-    rows = vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(~odd)
-    return rows.select(F.col("vec_id").cast("long"), scaled.alias("v"))
-
-
-def _groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and component matrix of the rows of each vector length."""
-    ids, lists = np.asarray(batch.column(0)), batch.column(1)
-    sizes = np.asarray(pa.compute.list_value_length(lists)).astype(np.int64)
-    flat = np.asarray(lists.flatten(), np.float64)
-    starts = np.cumsum(sizes) - sizes
-    for size in np.unique(sizes):
-        rows = np.flatnonzero(sizes == size)
-        yield ids[rows], flat[starts[rows][:, None] + np.arange(size)]
+def taking_part(vectors: DataFrame) -> DataFrame:
+    """``vec_id`` and ``v`` of the rows that take part."""
+    rows = vectors.where(F.col("vec_id").isNotNull() & complete("embedding"))
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
 
 
 def _scores(ids: np.ndarray, matrix: np.ndarray, block: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(query numbers, candidate ids, scores[candidate, query]) in steps; exact in doubles below 2**53, else in integers."""
+    """(query numbers, candidate ids, scores[candidate, query]) in steps."""
     found = block.get(matrix.shape[1])
     if found is None:
         return
     numbers, queries = found
     step = max(1, STEP_SCORES // len(numbers))
     for at in range(0, len(ids), step):
-        rows = matrix[at : at + step]
-        bound = np.abs(rows).max(initial=0) * np.abs(queries).max(initial=0) * rows.shape[1]
-        if bound < 2**53:
-            yield numbers, ids[at : at + step], (rows @ queries.T).astype(np.int64)
-        else:
-            yield numbers, ids[at : at + step], rows.astype(np.int64) @ queries.T.astype(np.int64)
+        yield numbers, ids[at : at + step], products(matrix[at : at + step], queries)
 
 
-def _histogram(candidates: DataFrame, block, owners, lows, widths, k: int) -> DataFrame:
+def _histogram(candidates: DataFrame, block, owners, lows, widths, k: int, scale: int) -> DataFrame:
     """Counts of scores in each query's bins (the last one: above its range), from each task's
     highest bin down to its k-th score."""
 
@@ -76,13 +61,14 @@ def _histogram(candidates: DataFrame, block, owners, lows, widths, k: int) -> Da
         counts = np.zeros((len(low), BINS + 1), np.int64)
         floor = low.copy()  # nothing below matters any more in this task
         for batch in batches:
-            for ids, matrix in _groups(batch):
+            for _, ids, matrix in by_size(batch.column(0), batch.column(1), scale):
                 for numbers, names, scores in _scores(ids, matrix, block.value):
                     row, column = np.nonzero(scores >= floor[numbers])
                     keep = names[row] != own[numbers[column]]
                     row, column = row[keep], column[keep]
                     query = numbers[column]
-                    bins = np.minimum((scores[row, column] - low[query]) // width[query], BINS)
+                    above = (scores[row, column] - low[query]).view(np.uint64)  # up to 64 bits: never below the range
+                    bins = np.minimum(above // width[query].view(np.uint64), BINS).astype(np.int64)
                     counts += np.bincount(query * (BINS + 1) + bins, minlength=counts.size).reshape(counts.shape)
                     down = np.cumsum(counts[:, ::-1], axis=1) >= k
                     best = BINS - np.argmax(down, axis=1)
@@ -96,14 +82,14 @@ def _histogram(candidates: DataFrame, block, owners, lows, widths, k: int) -> Da
     return candidates.mapInArrow(run, "query long, bin long, n long")
 
 
-def _best(candidates: DataFrame, block, owners, lows, k: int) -> DataFrame:
+def _best(candidates: DataFrame, block, owners, lows, k: int, scale: int) -> DataFrame:
     """Of each task and query the k best candidates that reach the query's k-th score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, own = lows.value, owners.value
         held = [np.zeros(0, np.int64)] * 3
         for batch in batches:
-            for ids, matrix in _groups(batch):
+            for _, ids, matrix in by_size(batch.column(0), batch.column(1), scale):
                 for numbers, names, scores in _scores(ids, matrix, block.value):
                     row, column = np.nonzero(scores >= low[numbers])
                     query = numbers[column]
@@ -133,38 +119,37 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, bl
     """``query_id, rank, vec_id, score``: the k highest inner products of each query, ties to the smaller id."""
     spark = vectors.sparkSession
     ship(spark)
-    candidates = quantised(vectors, scale)
-    asked = quantised(vectors.where(is_query), scale).groupBy("vec_id").agg(F.min("v").alias("v"))
-    total = asked.count()
-    blocks = max(1, -(-total // block))
+    candidates = taking_part(vectors)
+    asked = cut(taking_part(vectors.where(is_query)).groupBy("vec_id").agg(F.min("v").alias("v")))
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("v")).alias("numbers")).first()
+    blocks = max(1, -(-size.n // block), -(-(size.numbers or 0) // BLOCK_NUMBERS))
     largest = candidates.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 0.0
-    results = None
+    results = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     for b in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).orderBy("vec_id").collect()
-        found = _block(candidates, [(r.vec_id, r.v) for r in rows], k, largest)
-        results = found if results is None else results.unionByName(found)
+        rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).orderBy("vec_id").toArrow().combine_chunks()
+        if rows.num_rows:
+            results = results.unionByName(_block(candidates, rows["vec_id"].chunk(0), rows["v"].chunk(0), k, largest, scale))
     return results
 
 
-def _block(candidates: DataFrame, rows: list[tuple[int, list[float]]], k: int, largest: float) -> DataFrame:
+def _block(candidates: DataFrame, ids: pa.Array, vectors: pa.Array, k: int, largest: float, scale: int) -> DataFrame:
     context = candidates.sparkSession.sparkContext
-    matrices = {}
-    for size in {len(v) for _, v in rows}:
-        numbers = np.array([i for i, (_, v) in enumerate(rows) if len(v) == size])
-        matrices[size] = numbers, np.array([rows[i][1] for i in numbers], np.float64).reshape(len(numbers), size)
-    block, owners = context.broadcast(matrices), context.broadcast(np.array([i for i, _ in rows], np.int64))
-    reach = np.array([int(largest) * int(sum(map(abs, v))) for _, v in rows], np.int64)
-    lows, widths = -reach, 2 * reach // BINS + 1
-    refining = len(rows) > 0
+    matrices, reach = {}, np.zeros(len(ids), np.int64)
+    for at, _, matrix in by_size(ids, vectors, scale):
+        matrices[matrix.shape[1]] = at, matrix
+        reach[at] = [min(HIGH, (int(largest) + 1) * scale * sum(abs(int(x)) for x in v)) for v in matrix]
+    block, owners = context.broadcast(matrices), context.broadcast(np.asarray(ids))
+    lows, widths = -reach, reach // BINS * 2 + 2  # so that all bins together reach from -reach to reach
+    refining = True
     while refining:
         sent = context.broadcast(lows.copy()), context.broadcast(widths.copy())
-        found = kth_bins(_histogram(candidates, block, owners, *sent, k), k)
+        found = kth_bins(_histogram(candidates, block, owners, *sent, k, scale), k)
         refining = False
         for query, at in found.items():
             refining |= bool(widths[query] > 1)
-            lows[query] += at * widths[query]
+            lows[query] = int(lows[query]) + at * int(widths[query])
             widths[query] = -(-widths[query] // BINS)
-    best = _best(candidates, block, owners, context.broadcast(lows), k)
+    best = _best(candidates, block, owners, context.broadcast(lows), k, scale)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return cut(ranked.select("query_id", "rank", "vec_id", "score"))
