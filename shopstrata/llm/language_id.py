@@ -33,10 +33,16 @@ SAMPLE, SAMPLE_WORDS = 300, 60_000
 ROUNDS, BATCH, RATE, DECAY = 4, 256, 0.3, 1e-6
 LONGEST_LINE = 60
 UNDETERMINED = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+MARKS = re.compile(r"[^\W\d_]+")
 PREDICTED = "doc_id long, lang_pred string, score double"
 
 
+def words_of(line: str) -> list[str]:
+    """Runs of letters; signs that only count (fractions, raised or Roman numerals) may stand beside letters, not alone."""
+    found = MARKS.findall(line)
+    return found if line.isascii() else [w for w in found if w.isalpha() or any(map(str.isalpha, w))]
+
+
 # ---- features -----------------------------------------------------------------------------
 
 
@@ -157,7 +163,7 @@ class Model:
         for i, text in enumerate(texts):
             before = len(words)
             for line in (text or "").split("\n"):
-                found = LETTERS.findall(line)
+                found = words_of(line)
                 if found:
                     words.extend([numbers.setdefault(w, len(numbers)) for w in found])
                     line_sizes.append(len(found))
@@ -181,7 +187,7 @@ class Model:
 def _lines(text: str) -> list[list[str]]:
     out = []
     for line in text.split("\n"):
-        words = LETTERS.findall(line)
+        words = words_of(line)
         out += [words[k : k + LONGEST_LINE] for k in range(0, len(words), LONGEST_LINE)]
     return out
 
