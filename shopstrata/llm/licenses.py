@@ -11,8 +11,9 @@ Blocks are lines, and the whole text as one line, for notices that wrap over lin
 ``STRIDE`` words is always whole in one. Templates and phrases are parameters
 of a few hundred words and go to every task; the corpus is never shuffled.
 
-A block has every template found in it, except where all words of one lie within a fuller one's at
-the same place, as cc-by's do within cc-by-sa's.
+A block has every template found in it: a cc-by-sa notice holds all of cc-by's words and has both labels.
+Short notices differ by a word or two, less than the threshold leaves out, so a template may name
+telling words; a block without all of them is no match, however many others it holds.
 
 A null text is empty: no words, no labels, score 0. Repeated rows give repeated rows.
 """
@@ -49,6 +50,11 @@ TEMPLATES = {
     "mpl-2.0": "subject to the terms of the mozilla public license v 2 0",
     "unlicense": "this is free and unencumbered software released into the public domain",
 }
+#: Words without which a notice is another one's.
+TELLING = {
+    "apache-2.0": "apache", "cc-by-nc-4.0": "nc", "cc-by-sa-4.0": "sa", "gpl-3.0": "gnu general", "lgpl": "lesser", "mit": "mit",
+    "mpl-2.0": "mozilla", "unlicense": "unencumbered", "cc-by-4.0": "cc by",
+}
 
 #: Bytes of words stay (A-Z as a-z), a line's end stays, all else parts words.
 FOLD = bytes(
@@ -74,50 +80,18 @@ def blocks(words_by_line: list[list[bytes]]) -> Iterator[list[bytes]]:
             yield words[at : at + BLOCK]
 
 
-def _outside(block: list[bytes], words: set[bytes], need: int, telling: set[bytes]) -> set[bytes]:
-    """Words outside the shortest stretches of the block that hold at least ``need`` of ``words``, one of ``telling`` among them."""
-    rest: list[bytes | None] = list(block)
-    while True:
-        present = words.intersection(rest)
-        if len(present) < need or telling and not telling & present:
-            return set(rest) - {None}
-        last: dict[bytes, int] = {}
-        start, end = 0, len(rest)
-        for at, word in enumerate(rest):
-            if word in present:
-                last[word] = at
-                if len(last) == len(present) and at + 1 - min(last.values()) < end - start:
-                    start, end = min(last.values()), at + 1
-        rest[start:end] = [None] * (end - start)
-
-
 @dataclass
 class Index:
     """Templates by their rarest words."""
 
     rank: dict[bytes, int]
-    templates: list[tuple[str, list[bytes], int]]  # label, words from rare to frequent, words needed
+    templates: list[tuple[str, list[bytes], int, set[bytes]]]  # label, words from rare to frequent, how many, which
     by_word: dict[bytes, list[tuple[int, int]]]  # word of a prefix -> (template, place)
 
-    def all(self, block: list[bytes]) -> dict[str, float]:
-        """Every template of the block, without those found only within the words of a fuller one."""
-        found = self.join(block)
-        if len(found) < 2:
-            return found
-        own = {label: (words, need) for label, words, need in self.templates}
-        held = set(block)
-        shared = {label: held.intersection(own[label][0]) for label in found}
-        order = sorted(found, key=lambda x: (len(shared[x]), found[x], len(own[x][0]), x), reverse=True)
-        out: dict[str, float] = {}
-        for label in order:
-            words, need = own[label]
-            fuller = [(shared[x], own[x][1], shared[x] - shared[label]) for x in out if shared[label] <= shared[x]]
-            if all(len(_outside(block, *x).intersection(words)) >= need for x in fuller):
-                out[label] = found[label]
-        return out
-
     @staticmethod
-    def of(templates: dict[str, str], counts: dict[str, int], threshold: float) -> Index:
+    def of(
+        templates: dict[str, str], counts: dict[str, int], threshold: float, telling: dict[str, str] = TELLING
+    ) -> Index:
         words = {label: sorted({w.encode() for w in text.split()}) for label, text in templates.items()}
         every = sorted({w for ws in words.values() for w in ws}, key=lambda w: (counts.get(w.decode(), 0), w))
         rank = {w: i for i, w in enumerate(every)}
@@ -127,7 +101,7 @@ class Index:
             need = max(1, -(-round(threshold * len(own) * 10**6) // 10**6))
             for place in range(len(own) - need + 1):
                 by_word.setdefault(own[place], []).append((len(rows), place))
-            rows.append((label, own, need))
+            rows.append((label, own, need, {w.encode() for w in telling.get(label, "").split()}))
         return Index(rank, rows, by_word)
 
     def join(self, block: list[bytes]) -> dict[str, float]:
@@ -139,11 +113,11 @@ class Index:
                 if number in seen:
                     continue
                 seen.add(number)  # the first common word decides: all others lie behind it on both sides
-                label, words, need = self.templates[number]
+                label, words, need, telling = self.templates[number]
                 if len(own) < need or 1 + min(len(words) - place - 1, len(own) - at - 1) < need:
                     continue
                 shared = sum(w in present for w in words)
-                if shared >= need:
+                if shared >= need and telling <= present:
                     out[label] = shared / len(words)
         return out
 
@@ -189,7 +163,7 @@ def scan_text(text: bytes, index: Index, phrases: list[tuple[list[bytes], str]],
                 base.add(label)
     scores: dict[str, float] = {}
     for block in blocks([*lines, words] if len(lines) > 1 else lines):
-        for label, found in index.all(block).items():
+        for label, found in index.join(block).items():
             scores[label] = max(found, scores.get(label, 0.0))
     score = 1.0 if base else max(scores.values(), default=0.0)
     first, last = (min(places), max(places)) if places else (None, None)
@@ -201,10 +175,11 @@ def scan(
     phrases: dict[str, str] = PHRASES,
     templates: dict[str, str] = TEMPLATES,
     threshold: float = THRESHOLD,
+    telling: dict[str, str] = TELLING,
 ) -> DataFrame:
     """Base places, labels and the best containment of every document (1 where a phrase is found)."""
     ship(docs.sparkSession)
-    index = Index.of(templates, word_counts(docs, {w for t in templates.values() for w in t.split()}), threshold)
+    index = Index.of(templates, word_counts(docs, {w for t in templates.values() for w in t.split()}), threshold, telling)
     exact = [([w.encode() for w in p.split()], label) for p, label in phrases.items()]
     # a text without any of these bytes can hold neither a phrase nor a prefix word
     hints = sorted({max(p, key=len) for p, _ in exact} | set(index.by_word), key=len, reverse=True)
