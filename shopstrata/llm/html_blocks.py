@@ -9,13 +9,15 @@ The net is fitted on the driver, in numpy, to ``PAGES`` generated pages of many
 ``layouts``); no given page is learned from. Pages run through it in padded batches inside tasks.
 
 Null html is empty and gives an empty text. Malformed markup never fails: unclosed tags end with
-their parent, an unclosed script or comment runs to the end. Repeated rows give repeated rows.
+their parent, an unclosed script or comment runs to the end, an unclosed quote ends with its tag.
+Pages are read once from left to right, whatever their depth and quotes. Repeated rows give repeated rows.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -44,11 +46,8 @@ ENDED_BY = {
     "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}, "head": {"body"},
 }
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</\s*([a-zA-Z][\w:-]*)[^>]*>"
-    r"|<([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL,
-)
+TAG = re.compile(r"<(/?)(?:(?<=/)\s*)?([a-zA-Z][\w:-]*)")
+QUOTE = re.compile("[>\"']")
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
 PARTS = re.compile(r"[a-z]+")
 WHITE = re.compile(r"[ \t\n\r\f\v  -     　 \u0085]+")
@@ -66,78 +65,159 @@ STEP_BLOCKS = 4096
 
 @dataclass
 class Block:
-    path: list[str]
+    path: list[int]  # buckets of the names, classes and ids of the ancestors
     text: str
     linked: int  # characters inside links
 
 
+class Tags:
+    """Markup of a page from left to right, in one pass: what was looked for in vain is not looked for again.
+
+    A quote that is never closed is an ordinary sign, so its tag ends at the next ``>``. Where quotes swallow the
+    whole rest, they count as ordinary signs from there on. A tag that never ends is text.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.absent: set[str] = set()
+        self.quoting = True
+
+    def find(self, sign: str, at: int) -> int:
+        if sign in self.absent:
+            return -1
+        found = self.html.find(sign, at)
+        if found < 0:
+            self.absent.add(sign)
+        return found
+
+    def close(self, at: int) -> int:
+        """Where the tag ends whose name ends at ``at``: the first ``>`` outside quotes."""
+        after = at
+        while self.quoting and (found := QUOTE.search(self.html, after)) is not None:
+            if found.group() == ">":
+                return found.start()
+            end = self.find(found.group(), found.end())
+            after = end + 1 if end >= 0 else found.end()
+        self.quoting = False
+        return self.find(">", at)
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, str, str]]:
+        """``start, end, slash, name, attributes``; comments and declarations have no name."""
+        at = self.find("<", 0)
+        while at >= 0:
+            html, end, slash, name, attributes = self.html, -1, "", "", ""
+            if html.startswith("<!--", at):
+                end = self.find("-->", at + 4)
+                end = len(html) if end < 0 else end + 3
+            elif html.startswith(("<!", "<?"), at):
+                end = self.find(">", at) + 1
+            elif (tag := TAG.match(html, at)) is not None:
+                slash, name = tag.groups()
+                stop = self.find(">", tag.end()) if slash or ">" in self.absent else self.close(tag.end())
+                attributes, end = html[tag.end() : stop], stop + 1
+            if end > 0:
+                at = (yield at, end, slash, name.lower(), attributes) or end
+                at = self.find("<", at)
+            else:
+                at = self.find("<", at + 1)
+
+
+class Open:
+    """The open elements, with what a block needs to know of them kept as they come and go."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, list[int]]] = []
+        self.named: Counter[str] = Counter()
+        self.held = [0] * PATH_BUCKETS
+        self.blocks: list[int] = []  # places of the block elements
+
+    def push(self, name: str, parts: list[int]) -> None:
+        if name in BLOCK_TAGS:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, parts))
+        self.named[name] += 1
+        for bucket in parts:
+            self.held[bucket] += 1
+
+    def pop(self) -> str:
+        name, parts = self.stack.pop()
+        self.named[name] -= 1
+        for bucket in parts:
+            self.held[bucket] -= 1
+        if self.blocks and self.blocks[-1] == len(self.stack):
+            self.blocks.pop()
+        return name
+
+    def path(self) -> list[int]:
+        return [bucket for bucket, n in enumerate(self.held) if n]
+
+
 def blocks(html: str) -> list[Block]:
-    """Text runs of a page in order, with the path parts of their ancestors."""
+    """Text runs of a page in order, with the path buckets of their ancestors."""
     out: list[Block] = []
-    stack: list[tuple[str, list[str]]] = []
+    opened_now = Open()
+    stack = opened_now.stack
     words: list[str] = []
-    linked = links = silent = at = 0
+    linked = at = 0
 
     def flush() -> None:
         nonlocal linked
         text = WHITE.sub(" ", unescape("".join(words))).strip(" ")
         words.clear()
         if text:
-            out.append(Block([p for _, parts in stack for p in parts], text, linked))
+            out.append(Block(opened_now.path(), text, linked))
         linked = 0
 
     def pop() -> None:
-        nonlocal silent, links
-        name, _ = stack[-1]
-        if name in BLOCK_TAGS:
+        if stack[-1][0] in BLOCK_TAGS:
             flush()
-        stack.pop()
-        silent -= name in SILENT_TAGS
-        links -= name == "a"
+        opened_now.pop()
 
     def add(text: str) -> None:
         nonlocal linked
-        if text and not silent:
+        if text and not any(map(opened_now.named.__getitem__, SILENT_TAGS)):
             words.append(text)
-            if links:
+            if opened_now.named["a"]:
                 linked += len(text)
 
-    while at < len(html):
-        match = TOKEN.search(html, at)
-        if match is None:
-            add(html[at:])
-            break
-        add(html[at : match.start()])
-        at = match.end()
-        closed, opened, attributes = match.groups()
-        if closed:
-            closed = closed.lower()
-            if any(name == closed for name, _ in stack):
-                while stack[-1][0] != closed:
+    tags = Tags(html)
+    walk = iter(tags)
+    tag = next(walk, None)
+    while tag is not None:
+        start, end, slash, name, attributes = tag
+        add(html[at:start])
+        at, skip = end, None
+        if slash:
+            if opened_now.named[name]:
+                while stack[-1][0] != name:
                     pop()
                 pop()
-            elif closed in ("p", "br"):
-                flush() if closed == "p" else add(" ")
-        elif opened:
-            opened = opened.lower()
-            while stack and opened in ENDED_BY.get(stack[-1][0], ()):
+            elif name == "p":
+                flush()
+            elif name == "br":
+                add(" ")
+        elif name:
+            while stack and name in ENDED_BY.get(stack[-1][0], ()):
                 pop()
-            inner = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCK_TAGS), None)
-            if inner is not None and opened in ENDED_BY.get(stack[inner][0], ()):
+            inner = opened_now.blocks[-1] if opened_now.blocks else None
+            if inner is not None and name in ENDED_BY.get(stack[inner][0], ()):
                 while len(stack) > inner:  # inline elements left open end with their block
                     pop()
-            if opened in BLOCK_TAGS:
+            if name in BLOCK_TAGS:
                 flush()
-            if opened in VOID_TAGS:
+            if name in VOID_TAGS:
                 add(" ")
-                continue
-            names = [n for found in NAMES.findall(attributes) for n in PARTS.findall("".join(found).lower())]
-            stack.append((opened, [opened, *("." + n for n in names)]))
-            silent += opened in SILENT_TAGS
-            links += opened == "a"
-            if opened in RAW_TAGS and not attributes.rstrip().endswith("/"):
-                end = re.compile(rf"</\s*{opened}\b[^>]*>", re.IGNORECASE).search(html, at)
-                at = end.start() if end else len(html)
+            else:
+                names = [n for found in NAMES.findall(attributes) for n in PARTS.findall("".join(found).lower())]
+                opened_now.push(name, [_path_bucket(n) for n in (name, *("." + n for n in names))])
+                if name in RAW_TAGS and not attributes.rstrip().endswith("/"):
+                    close = re.compile(rf"</\s*{name}\b", re.IGNORECASE).search(html, at)
+                    skip = at = close.start() if close else len(html)
+        try:
+            tag = walk.send(skip)
+        except StopIteration:
+            tag = None
+    add(html[at:])
     while stack:
         pop()
     flush()
@@ -160,7 +240,7 @@ def vectors(page: list[Block]) -> np.ndarray:
     out = np.zeros((len(page), INPUT), np.float32)
     for i, block in enumerate(page):
         row = out[i]
-        row[list(map(_path_bucket, block.path))] = 1
+        row[block.path] = 1
         found = block.text.lower().split(" ")
         row[list(_word_buckets(set(found)))] = 1 / 8
         n = len(block.text)
