@@ -37,6 +37,8 @@ def cut(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if configured is None and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import sys
+import time
+from fractions import Fraction
 from pathlib import Path
 
 import duckdb
@@ -139,16 +142,38 @@ def test_odd_pages(spark, net):
     assert len(found) == 5 and [r.text for r in found][:3] == ["", "", ""]
 
 
+def texts(html):
+    return [b.text for b in html_blocks.blocks(html)]
+
+
+def test_broken_markup():
+    assert texts('<p>a</p><a title="x>broken') == ["a", "broken"]
+    assert texts('<p title="a>b">in</p> <i>x</i> 1 < 2 <b') == ["in", "x 1 < 2 <b"]
+    assert texts("<p id='one\">two</p><p>three</p>") == ["two", "three"]
+    assert texts("<!-- a > b --><p>c<!-- d") == ["c"] and texts("<script>if (a < b) x()</script ><p>t") == ["t"]
+    assert texts("<div></ div>a</div ><!doctype x><?y?>b") == ["ab"]
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<div>y", "<b>", "</script", "<a '\">", "<p id='", "<!--", "< ", "</b>x<i>", "<script>"])
+def test_long_broken_pages_take_time_in_proportion(unit):
+    started = time.process_time()
+    html_blocks.blocks(unit * (1_000_000 // len(unit)))
+    assert time.process_time() - started < 30
+
+
 # ---- vectors ------------------------------------------------------------------------------
 
 
 def brute_top(rows, k):
-    valid = [(i, np.floor(256 * np.array(v, float)).astype(object)) for i, v in rows
+    valid = [(i, [math.floor(Fraction(x) * 256) for x in v]) for i, v in rows
              if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
     for q in sorted({i for i, _ in valid if i % 50 == 0}):
         own = min((tuple(v) for i, v in valid if i == q))
-        scored = [(-int(sum(int(a) * int(b) for a, b in zip(own, v, strict=True))), i) for i, v in valid if i != q and len(v) == len(own)]
+        scored = [
+            (-max(1 - 2**63, min(2**63 - 1, sum(a * b for a, b in zip(own, v, strict=True)))), i)
+            for i, v in valid if i != q and len(v) == len(own)
+        ]
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])]
     return sorted(out)
 
@@ -162,6 +187,7 @@ def test_top_k(spark, block):
     rows += [(i, [0.5, 0.5, 0.5, 0.5]) for i in range(300, 420)]  # a frequent vector: ties
     rows += [(7, rows[7][1]), (100, rows[100][1]), (None, [1.0] * 4), (500, None), (501, [1.0, None, 1.0, 1.0])]
     rows += [(502, [float("nan")] * 4), (503, [float("inf")] * 4), (550, [1.0, 2.0]), (551, []), (600, [9.0, 1.0, 3.0])]
+    rows += [(650, [3e5, 1.0, 0.0, 2.0]), (651, [-3e5, 1e30, 0.0, 0.0]), (700, [1e30, 0.0, 0.0, 1.0]), (701, [1e300] * 4)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 rank", "2 score", "3 v")
     found = topk.top_k(df.repartition(5), F.col("vec_id") % 50 == 0, block=block)
     assert sorted(tuple(x) for x in found.collect()) == brute_top(rows, 5)
