@@ -104,6 +104,39 @@ def merge_monotonic(
     return matched.unionByName(inserted)
 
 
+def moved_days(
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], day: str, scope: Sequence[str],
+    ts: str = "updated_at", *, replace_equal: bool = False,
+) -> DataFrame:
+    """``scope`` and day pairs that a merge changes beside the day a row is on now.
+
+    For every row whose date in ``day`` changes with the merge: the day it leaves and the day it
+    reaches, each once, under the ``scope`` columns it has there.  Summaries by day are right again
+    when exactly these are built anew.
+    """
+    columns = [*scope, day, ts]
+    rest = [c for c in columns if c not in keys]
+    new = latest_by_key(incoming.select(*keys, *rest), keys, ts, [c for c in rest if c != ts])
+    old = existing.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in columns])
+    wins = F.col(ts) >= F.col(f"_old_{ts}") if replace_equal else F.col(ts) > F.col(f"_old_{ts}")
+    changed = new.join(old, list(keys)).where(wins & ~F.col(day).eqNullSafe(F.col(f"_old_{day}")))
+    places = [F.struct(*[F.col(f"{before}{c}").alias(c) for c in (*scope, day)]) for before in ("_old_", "")]
+    return changed.select(F.inline(F.array(*places))).where(F.col(day).isNotNull()).distinct()
+
+
+def decide(
+    incoming: DataFrame, known: DataFrame, keys: Sequence[str], ts: str, known_ts: str, *, replace_equal: bool = False
+) -> DataFrame:
+    """What a monotonic merge does with each incoming row, by the update time known of its key.
+
+    Both sides have one row per key.  Adds ``merge_action`` and the other columns of ``known``.
+    """
+    met = incoming.join(known.withColumn("_met", F.lit(True)), list(keys), "left")
+    newer = F.col(ts) >= F.col(known_ts) if replace_equal else F.col(ts) > F.col(known_ts)
+    action = F.when(F.col("_met").isNull(), "inserted").when(F.coalesce(newer, F.lit(False)), "updated").otherwise("ignored")
+    return met.withColumn(ACTION, action).drop("_met")
+
+
 def merge_replace(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert new keys and always replace existing ones.  ``incoming`` has one row per key."""
     _require_values(existing.columns, keys)

@@ -1,4 +1,4 @@
-"""Merging rows into a stored table while rewriting only the partitions that change."""
+"""Merging rows into a stored table: small merges as deltas, large ones by writing the periods they touch."""
 
 from __future__ import annotations
 
@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_lookup
-from ..operators.merge import ACTION, merge_monotonic
+from ..operators.merge import ACTION, decide, latest_by_key, merge_monotonic
 from ..schemas import STR, TABLES, conform
-from ..sources.tables import Warehouse
+from ..sources.tables import DAY, GONE, OLD_DAY, PART, SEQ, TS, Warehouse
 
 
 @dataclass(frozen=True)
@@ -33,23 +33,30 @@ class _Touched:
     incoming_rows: int
 
 
-def touched_partitions(wh: Warehouse, name: str, incoming: DataFrame, at) -> _Touched:
+#: A merge of at least this share of the rows of the periods it lands in writes these periods anew.
+REWRITE_SHARE = 0.25
+
+
+def _landing(wh: Warehouse, name: str, incoming: DataFrame) -> dict[str, int]:
+    """Incoming rows by period: one value per period, bounded by the length of the history."""
+    rows = conform(incoming, TABLES[name].schema).groupBy(wh.part_column(TABLES[name]).alias("part")).count()
+    return {r.part: r["count"] for r in rows.collect()}
+
+
+def touched_partitions(wh: Warehouse, name: str, incoming: DataFrame, at, landing: dict[str, int]) -> _Touched:
     """Partitions that hold an incoming row or an older version of one.
 
     A row may move to another period when its date changes, so the keys are looked up in the
-    other partitions as well; that scan reads key and date columns only.  The result is one
-    value per period, bounded by the length of the history.
+    other partitions as well; that scan reads key and date columns only.
     """
     spec = TABLES[name]
-    period = wh.part_column(spec).alias("part")
     rows = conform(incoming, spec.schema)
-    landing = {r.part: r["count"] for r in rows.groupBy(period).count().collect()}
     total = sum(landing.values())
     elsewhere = sorted(p for p in at.parts if p not in landing)
     if not landing or not elsewhere:
         return _Touched(sorted(landing), total)
     keys = list(spec.key)
-    older = wh.read_parts(name, elsewhere, at).select(*keys, period)
+    older = wh.read_parts(name, elsewhere, at).select(*keys, wh.part_column(spec).alias("part"))
     moved = join_lookup(older, rows.select(*keys), keys, keys[-1], "left_semi", salts=1, rows=total)
     found = {r.part for r in moved.select("part").distinct().collect()}
     return _Touched(sorted(set(landing) | found), total)
@@ -72,15 +79,28 @@ def _is_small(incoming: DataFrame, rows: int) -> bool:
 
 def upsert(wh: Warehouse, name: str, incoming: DataFrame, *, replace_equal: bool = False) -> MergeCounts:
     """Monotonic merge of ``incoming`` into a stored table; done again if another writer was faster."""
-    return wh.retried(lambda: _upsert_once(wh, name, incoming, replace_equal))
+    counts = wh.retried(lambda: _upsert_once(wh, name, incoming, replace_equal))
+    overdue = wh.overdue(wh.version(name))
+    if overdue:
+        wh.compact(name, overdue)
+    return counts
 
 
 def _upsert_once(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: bool) -> MergeCounts:
-    spec = TABLES[name]
     at = wh.version(name)
-    touched = touched_partitions(wh, name, incoming, at)
-    if not touched.parts:
+    landing = _landing(wh, name, incoming)
+    if not landing:
         return MergeCounts()
+    stored = sum(x.rows + x.delta_rows for p, x in at.parts.items() if p in landing)
+    if sum(landing.values()) >= REWRITE_SHARE * stored:
+        return _rewrite(wh, name, incoming, replace_equal, at, landing)
+    return _put_delta(wh, name, incoming, replace_equal, at)
+
+
+def _rewrite(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: bool, at, landing: dict[str, int]) -> MergeCounts:
+    """Joins the touched periods with the incoming rows and writes them anew."""
+    spec = TABLES[name]
+    touched = touched_partitions(wh, name, incoming, at, landing)
     rows = conform(incoming, spec.schema)
     stored = wh.read_parts(name, touched.parts, at)
     merged = merge_monotonic(
@@ -92,3 +112,43 @@ def _upsert_once(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: b
     counted = merged.observe(seen, *[F.count_if(F.col(ACTION) == a).alias(a) for a in actions])
     wh.replace(name, counted.drop(ACTION), touched.parts, at=at)
     return MergeCounts(**{a: seen.get[a] for a in actions})
+
+
+def _put_delta(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: bool, at) -> MergeCounts:
+    """Adds the rows that change over what is there; reads the index buckets of the incoming keys and no partition."""
+    spec = TABLES[name]
+    keys = list(spec.key)
+    at = wh.index(name, at)
+    newest = latest_by_key(conform(incoming, spec.schema), keys).withColumn("_bucket", wh.bucket(spec, at.index.buckets))
+    rows = wh.stage(newest, "incoming")
+    sizes = {r["_bucket"]: r["count"] for r in rows.df.groupBy("_bucket").count().collect()}
+    changes, seen = planned_delta(wh, name, rows.df.drop("_bucket"), sizes, replace_equal, at)
+    wh.put_delta(name, changes, at)
+    rows.drop()
+    counts = seen.get
+    return MergeCounts(**{a: counts[a] or 0 for a in ("inserted", "updated", "ignored")})
+
+
+def planned_delta(
+    wh: Warehouse, name: str, rows: DataFrame, sizes: dict[int, int], replace_equal: bool, at
+) -> tuple[DataFrame, Observation]:
+    """The delta of incoming ``rows`` (one per key, ``sizes`` of them by index bucket), and its counts once it is written."""
+    spec = TABLES[name]
+    keys = list(spec.key)
+    known = wh.read_index(name, at, sizes)
+    met = join_lookup(known, rows.select(*keys), keys, keys[-1], "left_semi", salts=1, rows=sum(sizes.values()))
+    last = latest_by_key(met, keys, ts=SEQ).select(*keys, DAY, TS)
+    seen = Observation()
+    decided = decide(rows, last, keys, "updated_at", TS, replace_equal=replace_equal).observe(
+        seen, *[F.count_if(F.col(ACTION) == a).alias(a) for a in ("inserted", "updated", "ignored")]
+    )
+    here = wh.part_column(spec)
+    before = F.when(F.col(ACTION) == "updated", wh.period_column(F.col(DAY)))
+    left = F.when(before.isNotNull() & (before != here), F.struct(before.alias(PART), F.lit(True).alias(GONE)))
+    places = F.array_compact(F.array(F.struct(here.alias(PART), F.lit(False).alias(GONE)), left))
+    return (
+        decided.where(F.col(ACTION) != "ignored")
+        .select(*spec.columns, F.col(DAY).alias(OLD_DAY), F.explode(places).alias("_place"))
+        .select(*spec.columns, OLD_DAY, "_place.*"),
+        seen,
+    )

@@ -90,6 +90,13 @@ DQ_RESULT = _schema(
     check_id=LONG, batch_id=STR, shop_id=LONG, platform=STR, stat_date=DATE, actual_value=STR,
     expected_value=STR, passed=INT, detail=STR, evaluated_at=TS,
 )
+MOVED_DAY = _schema(shop_id=LONG, platform=STR, stat_date=DATE, recorded_at=TS)
+PRODUCT_SIGHTING = _schema(
+    shop_id=LONG, product_id=STR, product_name=STR, first_seen_at=TS, last_seen_at=TS, period=STR, source=STR,
+)
+FEED_FILE = _schema(
+    path=STR, bytes=LONG, modified_at=TS, messages=LONG, first_time=TS, last_time=TS, batch_id=STR, read_at=TS,
+)
 ALERT = _schema(batch_id=STR, title=STR, text=STR, level=STR, created_at=TS)
 
 
@@ -106,6 +113,11 @@ class TableSpec:
     key: tuple[str, ...]
     dated_by: tuple[str, ...] = ()
 
+    @property
+    def merged_by_key(self) -> bool:
+        """Whether rows are merged by key and update time, in small merges as deltas."""
+        return bool(self.key and self.dated_by) and "updated_at" in self.schema.fieldNames()
+
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
@@ -128,6 +140,9 @@ TABLES: dict[str, TableSpec] = {
         TableSpec("dw.dws_product_daily", DWS_PRODUCT_DAILY, ("stat_date", "shop_id", "product_id"), ("stat_date",)),
         TableSpec("dw.ads_shop_overview", ADS_SHOP_OVERVIEW, ("stat_date", "shop_id"), ("stat_date",)),
         TableSpec("dw.ads_daily_kpi", ADS_DAILY_KPI, ("stat_date", "platform"), ("stat_date",)),
+        TableSpec("dw.dim_product_sighting", PRODUCT_SIGHTING, ("shop_id", "product_id", "product_name", "period")),
+        TableSpec("etl_meta.moved_day", MOVED_DAY, ("shop_id", "platform", "stat_date")),
+        TableSpec("etl_meta.etl_feed_file", FEED_FILE, ("path",), ("read_at",)),
         TableSpec("etl_meta.etl_watermark", WATERMARK, ("table_name", "shop_id", "platform")),
         TableSpec("etl_meta.etl_batch", BATCH_EVENT, ("batch_id",), ("started_at",)),
         TableSpec("etl_meta.etl_task_run", TASK_RUN, ("run_id",), ("started_at",)),
