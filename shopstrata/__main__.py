@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import SparkSession
 
-from .operators import feed, windows
+from .operators import windows
 from .operators.charts import CHARTS
 from .plans import backfill, build, ingest, monitor, reporting, state
 from .sources import config_files, landing
@@ -76,10 +76,7 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> object:
                 settings, overlap=timedelta(minutes=args.overlap), delay=timedelta(minutes=args.delay),
                 run_checks=not args.no_checks,
             )
-        since = args.start
-        if args.command == "ingest" and since is None and args.run_type == windows.INCREMENTAL:
-            since = state.oldest_needed(wh, feed.ORDERS_TABLE, settings.overlap)
-        messages = landing.scan_feed(spark, args.feed, platform=args.platform, updated_since=since)
+        messages = landing.scan_feed(spark, args.feed, platform=args.platform, updated_since=args.start)
         if args.command == "backfill":
             shops = config_files.parse_registry(config_files.load_document(args.shops))
             return state.run_task(wh, "backfill", "backfill", lambda: backfill.backfill(
@@ -89,6 +86,10 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> object:
         silent = None
         if args.shops:
             silent = registry_frame(spark, config_files.parse_registry(config_files.load_document(args.shops)))
+        if kind == windows.INCREMENTAL and window is None:
+            return state.run_task(wh, "ingest", "ingest", lambda: ingest.ingest_directory(
+                wh, args.feed, now=now, platform=args.platform, settings=settings, shops=silent
+            ))
         return state.run_task(wh, "ingest", "ingest", lambda: ingest.ingest_batch(
             wh, messages, now=now, run_type=kind, window=window, settings=settings, shops=silent
         ))
@@ -109,6 +110,9 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> object:
     if args.command == "sync-rules":
         return state.sync_rules(wh, config_files.parse_rules(config_files.load_document(args.rules)), now)
     if args.command == "expire":
+        state.tidy_logs(wh, 0)
+        for name in sorted(wh.names()):
+            wh.compact(name)
         return {name: gone for name in sorted(wh.names()) if (gone := wh.expire(name, args.keep))}
     shown = {
         "metrics": lambda: reporting.pipeline_metrics(wh, now),

@@ -24,17 +24,27 @@ REFRESHED_DATE_COLUMNS = ("is_weekend", "is_holiday", "holiday_name")
 SHOP_ATTRIBUTES = ("shop_name", "status")
 
 
-def product_dimension(items: DataFrame, now: datetime) -> DataFrame:
-    """Latest name, first and last sighting and active flag per shop and product.
+def product_sightings(items: DataFrame, *more: str) -> DataFrame:
+    """First and last sighting of every name of a product, by shop and ``more`` columns.
 
-    Sightings are first collapsed per name with plain min/max (hash aggregation, combined
-    before the shuffle); only that small result is compared by name.
+    Plain min/max on the hash path, combined before the shuffle.  Sightings of any split of the
+    items can be put together by ``product_dimension_of``, so those of a period that did not change
+    need not be made again.
     """
-    per_name = items.groupBy("shop_id", "product_id", "product_name").agg(
+    return items.groupBy("shop_id", "product_id", "product_name", *more).agg(
         F.min("updated_at").alias("first_seen_at"), F.max("updated_at").alias("last_seen_at")
     )
+
+
+def product_dimension(items: DataFrame, now: datetime) -> DataFrame:
+    """Latest name, first and last sighting and active flag per shop and product."""
+    return product_dimension_of(product_sightings(items), now)
+
+
+def product_dimension_of(sightings: DataFrame, now: datetime) -> DataFrame:
+    """The product dimension of sightings; only this small input is compared by name."""
     return (
-        per_name.groupBy("shop_id", "product_id")
+        sightings.groupBy("shop_id", "product_id")
         .agg(
             F.max_by("product_name", F.struct("last_seen_at", "product_name")).alias("product_name"),
             F.min("first_seen_at").alias("first_seen_at"),

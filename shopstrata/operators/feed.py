@@ -22,6 +22,7 @@ ORDERS_TABLE, ITEMS_TABLE = "dw.ods_orders", "dw.ods_order_items"
 
 # Scalars are read as text so that "5" and 5 are the same id; the flag keeps its JSON form.
 # Items are read twice: as text, kept as the original, and by their known fields.
+SOURCE_FILE, KNOWN = "source_file", "known"
 KEY_FIELDS = "shop_id string, order_id string, updated_at string"
 FEED_FIELDS = (
     "shop_id string, order_id string, status string, buyer_nick string, order_amount string, "
@@ -50,16 +51,39 @@ def message_keys(feed: DataFrame) -> DataFrame:
     filter on them is not pushed below the parse and each text is read once.
     """
     key = F.from_json("value", KEY_FIELDS)
-    return feed.select("platform", "source_shop_id", "value", F.inline(F.array(key))).select(
+    more = [c for c in (SOURCE_FILE, KNOWN) if c in feed.columns]
+    return feed.select("platform", "source_shop_id", "value", *more, F.inline(F.array(key))).select(
         "platform",
         F.coalesce("source_shop_id", F.col("shop_id").try_cast("bigint")).alias("shop_id"),
         F.col("shop_id").alias("message_shop"),
         "order_id",
         parse_iso(F.col("updated_at")).alias("message_time"),
-        "value",
+        "value", *more,
     )
 
 
+def file_times(messages: DataFrame) -> DataFrame:
+    """Number of messages, first and last update time of each ``source_file``."""
+    time = F.col("message_time")
+    keyed = message_keys(messages)
+    return keyed.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("messages"), F.min(time).alias("first_time"), F.max(time).alias("last_time")
+    )
+
+
+def files_to_read(listing: DataFrame, ledger: DataFrame, since: Column | None) -> DataFrame:
+    """``path, known``: files that a run has to read.
+
+    ``ledger`` has one row per file that was read before, as it was then.  Files it does not know, or
+    that changed since, are new.  Of the others only those with messages from ``since`` on may hold
+    something for the run; without ``since`` all of them do.
+    """
+    before = ledger.select("path", "bytes", "modified_at", "last_time", F.lit(True).alias("known"))
+    met = listing.join(before, ["path", "bytes", "modified_at"], "left")
+    late = F.lit(True) if since is None else F.col("last_time") >= since
+    return met.where(F.col("known").isNull() | late).select("path", F.coalesce("known", F.lit(False)).alias("known"))
+
+
 def in_window(start: Column, end: Column) -> Column:
     """Half-open window test; a message without a readable time stays in, to be set aside later."""
     time = F.col("message_time")
@@ -108,7 +132,7 @@ def _typed_item(fields: Column, position: Column, batch_id: str) -> Column:
         F.col("platform").alias("platform"),
         _or_default(fields["product_id"]).alias("product_id"),
         _or_default(fields["product_name"]).alias("product_name"),
-        _quantity(fields["quantity"]).alias("quantity"),
+        _quantity(fields["quantity"], F.get("items", position)).alias("quantity"),
         to_cents(fields["price"]).alias("price_cents"),
         F.get("items", position).alias("raw_json"),
         F.col("_updated").alias("updated_at"),
@@ -116,9 +140,14 @@ def _typed_item(fields: Column, position: Column, batch_id: str) -> Column:
     )
 
 
-def _quantity(text: Column) -> Column:
-    """Whole number, truncated; absent or empty is 0, anything unreadable NULL."""
-    number = text.try_cast("decimal(20,6)").try_cast("int")
+def _quantity(text: Column, item: Column) -> Column:
+    """Whole number; a JSON number with a fraction is truncated, text with one is none.
+
+    Absent or empty is 0, anything unreadable NULL.  Number and text look alike once parsed, so the
+    item's own text is asked where it matters.
+    """
+    whole = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
+    number = F.when(whole | ~item.rlike(r'"quantity"\s*:\s*"'), text.try_cast("decimal(20,6)").try_cast("int"))
     return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0)).otherwise(number)
 
 

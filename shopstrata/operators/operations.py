@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +36,22 @@ def current_batches(events: DataFrame) -> DataFrame:
     )
 
 
+def latest_events(events: DataFrame) -> DataFrame:
+    """One event per batch with its current state; reads like all of them together."""
+    last = F.max("event_seq").alias("event_seq")
+    seq = events.groupBy("batch_id", "table_name", "shop_id", "platform").agg(last)
+    current = current_batches(events)
+    same = [current[c].eqNullSafe(seq[c]) for c in ("batch_id", "table_name", "shop_id", "platform")]
+    return current.join(seq, reduce(lambda a, b: a & b, same)).select(*[current[c] for c in current.columns], seq["event_seq"])
+
+
+def latest_success(batches: DataFrame) -> DataFrame:
+    """Latest successful batch with a window, per table, shop and platform; of any split of the batches, and of its own results."""
+    done = batches.where("status = 'success' AND window_end IS NOT NULL") if "status" in batches.columns else batches
+    latest = F.max(F.struct("started_at", "window_end"))
+    return done.groupBy(*SHOP_KEYS).agg(latest.alias("_latest")).select(*SHOP_KEYS, "_latest.*")
+
+
 def success_rate(batches: DataFrame, now: datetime) -> DataFrame:
     """Share of successful batches per table in the last 24 hours."""
     return (
@@ -47,13 +64,11 @@ def success_rate(batches: DataFrame, now: datetime) -> DataFrame:
 
 def batch_delay(batches: DataFrame, now: datetime) -> DataFrame:
     """Minutes since the window end of the latest successful batch per table, shop and platform."""
-    latest = F.max(F.struct("started_at", "window_end"))["window_end"]
-    return (
-        batches.where("status = 'success' AND window_end IS NOT NULL")
-        .groupBy(*SHOP_KEYS)
-        .agg(latest.alias("window_end"))
-        .select(*SHOP_KEYS, minutes_between(F.col("window_end"), wall(now)).alias("delay_minutes"))
-    )
+    return delay_of(latest_success(batches), now)
+
+
+def delay_of(latest: DataFrame, now: datetime) -> DataFrame:
+    return latest.select(*SHOP_KEYS, minutes_between(F.col("window_end"), wall(now)).alias("delay_minutes"))
 
 
 def ranked_value(df: DataFrame, group: str, value: str, percent: int) -> DataFrame:

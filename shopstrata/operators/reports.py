@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,6 +36,17 @@ def _from_window_start(df: DataFrame, since: date | None) -> DataFrame:
     return df if since is None else df.where(F.col("stat_date") >= F.lit(since))
 
 
+def with_next_day(days: DataFrame, rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``days`` (columns ``by`` and ``stat_date``), and for each the next day that its group has a row for.
+
+    A changed day changes its own report and the comparison of the row after it.
+    """
+    known = rows.select(*by, F.col("stat_date").alias("_after")).distinct()
+    later = days.join(known, list(by)).where(F.col("_after") > F.col("stat_date"))
+    following = later.groupBy(*by, "stat_date").agg(F.min("_after").alias("_after"))
+    return days.unionByName(following.select(*by, F.col("_after").alias("stat_date"))).distinct()
+
+
 def shop_overview(
     shop_days: DataFrame, product_days: DataFrame, products: DataFrame, since: date | None = None
 ) -> DataFrame:

@@ -19,6 +19,7 @@ from ..functions.joins import join_lookup
 from ..operators import alerts, feed, quality, windows
 from ..operators.deadletters import MAPPER_ERROR, stamp
 from ..operators.windows import FULL, INCREMENTAL, TimeWindow
+from ..sources import landing
 from ..sources.tables import Staged, Warehouse
 from . import state
 from .parallel import in_parallel
@@ -174,6 +175,51 @@ def ingest_batch(
         run.clean_up()
 
 
+def ingest_directory(
+    wh: Warehouse,
+    path: str,
+    *,
+    now: datetime,
+    platform: str | None = None,
+    settings: IngestSettings = IngestSettings(),
+    shops: DataFrame | None = None,
+) -> IngestResult:
+    """An incremental run over a landing directory that reads only files which may hold something for it.
+
+    Every file is recorded with the times of its messages when it is read first.  Later runs leave out
+    those whose newest message lies before all windows, whatever the directory looks like; files that
+    changed are read as new.  A message without a readable time counts in the run that reads its file
+    first.
+    """
+    batch = state.new_batch_id()
+    since = state.oldest_needed(wh, feed.ORDERS_TABLE, settings.overlap)
+    listing = wh.stage(landing.list_files(wh.spark, path), "files")
+    chosen = wh.stage(
+        feed.files_to_read(listing.df, state.feed_files(wh), None if since is None else wall(since)), "chosen"
+    )
+    known = {r.path: r.known for r in chosen.df.collect()}  # names of the files to read, which a scan needs anyway
+    messages = landing.scan_files(wh.spark, path, sorted(known), platform=platform)
+    marked = messages.join(
+        F.broadcast(chosen.df.withColumnRenamed("path", feed.SOURCE_FILE)) if len(known) <= MOST_FILES_SENT
+        else chosen.df.withColumnRenamed("path", feed.SOURCE_FILE), feed.SOURCE_FILE,
+    )
+    new = listing.df.join(chosen.df.where(~F.col("known")), "path", "left_semi")
+    times = feed.file_times(marked.where(~F.col(feed.KNOWN)))
+    try:
+        result = ingest_batch(wh, marked, now=now, settings=settings, batch_id=batch, shops=shops)
+    except IngestFailed:
+        state.record_files(wh, new, times, batch, now)  # shops that were held up read them again by their watermark
+        raise
+    state.record_files(wh, new, times, batch, now)
+    for staged in (listing, chosen):
+        staged.drop()
+    return result
+
+
+#: Names of files sent to all tasks; more are joined by a shuffle.
+MOST_FILES_SENT = 100_000
+
+
 class _Run:
     """One batch: the staged results and what is written in which order."""
 
@@ -189,6 +235,7 @@ class _Run:
     def clean_up(self) -> None:
         for staged in self._staged:
             staged.drop()
+        state.tidy_logs(self.wh)
 
     def broken(self, problem: Exception) -> None:
         state.record_batches(
@@ -212,7 +259,8 @@ class _Run:
         letters = stamp(feed.letters_of(staged), self.batch, wall(self.now))
         _, _, (over, stray), totals = in_parallel(
             lambda: state.record_batches(wh, named, status=state.RUNNING, **self._event),
-            lambda: wh.append(state.ERRORS, letters),
+            # a micro-batch that is replayed has the same id, and its letters count once
+            lambda: wh.append(state.ERRORS, letters, once=f"letters-{self.batch}" if self.run_type == STREAM else None),
             lambda: _gate(report, settings.dead_letter_limit),
             lambda: report.agg(F.sum("rows_read").alias("rows"), F.sum("dead_letters").alias("dead")).first(),
         )
@@ -225,7 +273,9 @@ class _Run:
         keep_all = n_over == 0 or self.run_type == STREAM
         passed = staged if keep_all else join_lookup(staged, over, SHOP, ["order_row", "letters"], "left_anti")
         orders, items = in_parallel(
-            lambda: upsert(wh, feed.ORDERS_TABLE, feed.accepted_orders(passed)),
+            lambda: upsert(
+                wh, feed.ORDERS_TABLE, feed.accepted_orders(passed), moves=lambda days: state.record_moves(wh, days, self.now)
+            ),
             lambda: upsert(wh, feed.ITEMS_TABLE, feed.accepted_items(passed)),
         )
 
@@ -248,6 +298,8 @@ class _Run:
     def _unseen(self, keyed: DataFrame) -> DataFrame:
         """Without messages that lack a readable time and were set aside by an earlier run: they
         belong to every window and would count against their shop for good."""
+        if feed.KNOWN in keyed.columns:  # the ledger of files says which were read before
+            return keyed.where(F.col("message_time").isNotNull() | ~F.col(feed.KNOWN))
         seen = self.wh.read_log(state.ERRORS).where(F.col("error_type") == MAPPER_ERROR)
         known = seen.select(F.xxhash64("platform", "raw_row").alias("_text")).distinct()
         if self.run_type == STREAM or known.isEmpty():

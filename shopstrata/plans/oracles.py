@@ -134,6 +134,13 @@ SQL["scan_update_window"] = """
 SELECT platform, shop_id, message_order AS order_id, message_time FROM feed
 WHERE message_time >= TIMESTAMP '1996-01-01 00:00:00' AND message_time < TIMESTAMP '2001-07-01 00:00:00'"""
 
+SQL["scan_new_files"] = """
+SELECT path, known FROM (
+    SELECT 'shop_id=' || shop_id || '/' || CAST(CAST(updated_at AS DATE) AS VARCHAR) || '.json' AS path,
+           CAST(day(CAST(updated_at AS DATE)) <= 14 AND day(CAST(updated_at AS DATE)) % 5 <> 0 AS INT) AS known,
+           MAX(updated_at) AS last_time
+    FROM ods_orders GROUP BY 1, 2)
+WHERE known = 0 OR last_time >= TIMESTAMP '1999-06-01 00:00:00'"""
 SQL["scan_business_window"] = """
 SELECT shop_id, order_id, order_status, buyer_nick, order_amount_cents, payment_amount_cents, refund_amount_cents,
        is_deleted, created_at, updated_at
@@ -216,6 +223,11 @@ FROM existing e FULL OUTER JOIN incoming n ON n.shop_id = e.shop_id AND n.order_
     )
 )
 SQL["dedup_latest"] = "SELECT * FROM ods_items"
+SQL["merge_decisions"] = """
+SELECT i.shop_id, i.order_id, e.updated_at AS known_at, i.updated_at,
+       CASE WHEN e.order_id IS NULL THEN 'inserted' WHEN i.updated_at > e.updated_at THEN 'updated' ELSE 'ignored' END AS merge_action
+FROM incoming i LEFT JOIN existing e ON e.shop_id = i.shop_id AND e.order_id = i.order_id"""
+
 SQL["merge_monotonic"] = "SELECT * FROM merged"
 SQL["merge_replace"] = """
 SELECT * FROM existing UNION ALL
@@ -264,6 +276,31 @@ SELECT p.stat_date, p.shop_id, i.product_id, MIN(p.platform) AS platform,
 FROM paid p JOIN ods_items i ON i.shop_id = p.shop_id AND i.order_id = p.order_id
 GROUP BY p.stat_date, p.shop_id, i.product_id"""
 
+CTES["dated_anew"] = """
+SELECT * REPLACE (CASE WHEN CAST(order_id AS BIGINT) % 7 = 0 THEN created_at + INTERVAL '3' DAY ELSE created_at END AS created_at)
+FROM incoming"""
+CTES["moves"] = """
+SELECT o.shop_id, o.platform, CAST(COALESCE(o.created_at, o.updated_at) AS DATE) AS was, n.platform AS new_platform,
+       CAST(COALESCE(n.created_at, n.updated_at) AS DATE) AS now
+FROM existing o JOIN dated_anew n ON n.shop_id = o.shop_id AND n.order_id = o.order_id WHERE n.updated_at > o.updated_at"""
+SQL["moved_days"] = """
+SELECT shop_id, platform, was AS stat_date FROM moves WHERE was <> now
+UNION
+SELECT shop_id, new_platform, now FROM moves WHERE was <> now"""
+CTES["after_moves"] = """
+SELECT * FROM dated_anew n WHERE NOT EXISTS (SELECT 1 FROM existing o WHERE o.shop_id = n.shop_id AND o.order_id = n.order_id
+                                             AND o.updated_at >= n.updated_at)
+UNION ALL
+SELECT * FROM existing o WHERE NOT EXISTS (SELECT 1 FROM dated_anew n WHERE n.shop_id = o.shop_id AND n.order_id = o.order_id
+                                           AND n.updated_at > o.updated_at)"""
+CTES["dwd_before_moves"] = _dwd("existing")
+CTES["dwd_after_moves"] = _dwd("after_moves")
+SQL["moved_shop_days"] = "\nUNION ALL\n".join(
+    _shop_days(f"(SELECT * FROM {t} d WHERE {_PAID} AND {no} EXISTS (SELECT 1 FROM moves m WHERE m.was <> m.now AND m.shop_id = d.shop_id "
+               "AND ((m.platform = d.platform AND m.was = d.stat_date) OR (m.new_platform = d.platform AND m.now = d.stat_date))))")
+    for t, no in (("dwd_before_moves", "NOT"), ("dwd_after_moves", ""))
+)
+
 
 def _ratio(n: str, d: str, scale: int, unit: int = 1) -> str:
     big = f"CAST({n} AS HUGEINT)"
@@ -327,6 +364,11 @@ SELECT shop_id, product_id, ARG_MAX(product_name, (updated_at, product_name)) AS
        MIN(updated_at) AS first_seen_at, MAX(updated_at) AS last_seen_at,
        CASE WHEN MAX(updated_at) >= TIMESTAMP '2001-08-01 00:00:00' - INTERVAL '90' DAY THEN 1 ELSE 0 END AS is_active
 FROM ods_items GROUP BY shop_id, product_id"""
+SQL["dim_product_of_sightings"] = SQL["dim_product"]
+SQL["product_sightings"] = """
+SELECT shop_id, product_id, product_name, platform, strftime(updated_at, '%Y-%m') AS period,
+       MIN(updated_at) AS first_seen_at, MAX(updated_at) AS last_seen_at
+FROM ods_items GROUP BY ALL"""
 SQL["shop_overview"] = "SELECT * FROM overview"
 SQL["shop_overview_window"] = f"""
 SELECT * FROM ({_overview("SELECT * FROM shop_days WHERE stat_date >= DATE '1997-12-31'",

@@ -52,6 +52,14 @@ def scan_business_window(spark, d):
     )
 
 
+@query
+def scan_new_files(spark, d):
+    """Files of a feed that a run must read: new, changed, or with messages of its window."""
+    listing, ledger = sample.feed_files(spark, d)
+    chosen = feed.files_to_read(listing, ledger, F.lit("1999-06-01").cast("timestamp_ntz"))
+    return chosen.withColumn("known", F.col("known").cast("int"))
+
+
 # ---- feed --------------------------------------------------------------------------------
 
 
@@ -173,6 +181,37 @@ def merge_monotonic(spark, d):
     )
 
 
+@query
+def merge_decisions(spark, d):
+    """What a merge does with each incoming row, told by the key and update time of the stored one alone."""
+    known = sample.merge_existing(spark, d).select(*sample.ORDER_KEY, F.col("updated_at").alias("known_at"))
+    decided = merge.decide(sample.merge_incoming(spark, d), known, sample.ORDER_KEY, "updated_at", "known_at")
+    return decided.select(*sample.ORDER_KEY, "known_at", "updated_at", merge.ACTION)
+
+
+@query
+def moved_days(spark, d):
+    """Days that orders leave and reach when some are dated anew, as far as their new version wins."""
+    stored, incoming = (
+        x.withColumn("stat_date", F.to_date(F.coalesce("created_at", "updated_at")))
+        for x in (sample.merge_existing(spark, d), sample.dated_anew(spark, d))
+    )
+    return merge.moved_days(stored, incoming, sample.ORDER_KEY, "stat_date", ("shop_id", "platform"))
+
+
+@query
+def moved_shop_days(spark, d):
+    """Shop days after the merge, built again for exactly these days and kept for all others."""
+    before, incoming = sample.merge_existing(spark, d), sample.dated_anew(spark, d)
+    after = merge.merge_monotonic(before, incoming, sample.ORDER_KEY)
+    keys = ["shop_id", "platform", "stat_date"]
+    days = moved_days(spark, d)
+    dwd = facts.dwd_orders(after, BATCH)
+    fresh = daily.shop_daily(dwd.join(days, keys, "left_semi"))
+    kept = daily.shop_daily(facts.dwd_orders(before, BATCH)).join(days, keys, "left_anti")
+    return kept.unionByName(fresh)
+
+
 @query
 def merge_replace(spark, d):
     return merge.merge_replace(sample.merge_incoming(spark, d), sample.merge_existing(spark, d), sample.ORDER_KEY)
@@ -264,6 +303,19 @@ def product_daily(spark, d):
     return daily.product_daily(_dwd(spark, d), _dwd_items(spark, d))
 
 
+@query
+def product_sightings(spark, d):
+    """First and last sighting of each product name by month of the items."""
+    items = sample.ods_items(spark, d).withColumn("period", F.date_format("updated_at", "yyyy-MM"))
+    return dimensions.product_sightings(items, "platform", "period")
+
+
+@query
+def dim_product_of_sightings(spark, d):
+    """The product dimension put together from the sightings of all months."""
+    return dimensions.product_dimension_of(product_sightings(spark, d), ORDERS_NOW)
+
+
 @query
 def dim_product(spark, d):
     return dimensions.product_dimension(sample.ods_items(spark, d), ORDERS_NOW)

@@ -17,13 +17,15 @@ LABELS = {"table_name": "string", "shop_id": "bigint", "platform": "string", "da
 
 def pipeline_metrics(wh: Warehouse, now: datetime) -> DataFrame:
     """All health metrics as rows ``metric, table_name, shop_id, platform, dag_id, value``."""
-    batches = state.ledger(wh)
+    since = (now - operations.RECENT).date()  # no metric of the last day lists an older period
+    batches = state.ledger(wh, since)
+    letters = wh.read_log(state.ERRORS, since=since).dropDuplicates(["batch_id", "error_key"])
     metrics = {
         "etl_batch_success_rate": (operations.success_rate(batches, now), "success_rate"),
-        "etl_batch_delay_minutes": (operations.batch_delay(batches, now), "delay_minutes"),
-        "etl_task_duration_ms_p95": (operations.duration_p95(wh.read_log(state.TASKS), now), "p95_ms"),
-        "etl_dq_failures_total": (operations.check_failures(wh.read_log(state.RESULTS), now), "dq_failures"),
-        "etl_load_errors_total": (operations.load_errors(wh.read_log(state.ERRORS), batches, now), "load_errors"),
+        "etl_batch_delay_minutes": (operations.delay_of(state.latest_successes(wh), now), "delay_minutes"),
+        "etl_task_duration_ms_p95": (operations.duration_p95(wh.read_log(state.TASKS, since=since), now), "p95_ms"),
+        "etl_dq_failures_total": (operations.check_failures(wh.read_log(state.RESULTS, since=since), now), "dq_failures"),
+        "etl_load_errors_total": (operations.load_errors(letters, batches, now), "load_errors"),
         "etl_watermark_age_minutes": (operations.watermark_age(wh.read(state.WATERMARKS), now), "age_minutes"),
     }
     rows = [

@@ -5,14 +5,14 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clip, wall
-from ..operators import alerts, operations, quality, windows
+from ..operators import alerts, merge, operations, quality, windows
 from ..schemas import TABLES
 from ..sources.config_files import rules_frame
 from ..sources.tables import Warehouse
@@ -21,6 +21,7 @@ WATERMARKS, BATCHES, TASKS = "etl_meta.etl_watermark", "etl_meta.etl_batch", "et
 ERRORS, DEFS, RESULTS, ALERTS = (
     "etl_meta.etl_load_error", "etl_meta.dq_check_def", "etl_meta.dq_check_result", "etl_meta.alert",
 )
+MOVES, FILES = "etl_meta.moved_day", "etl_meta.etl_feed_file"
 RUNNING, SUCCESS, FAILED = "running", "success", "failed"
 
 
@@ -31,9 +32,49 @@ def new_batch_id() -> str:
 # ---- ledger ------------------------------------------------------------------------------
 
 
-def ledger(wh: Warehouse) -> DataFrame:
-    """Current state of every batch."""
-    return operations.current_batches(wh.read_log(BATCHES))
+def ledger(wh: Warehouse, since: date | None = None) -> DataFrame:
+    """Current state of every batch; ``since`` leaves out periods before that day."""
+    return operations.current_batches(wh.read_log(BATCHES, since=since))
+
+
+def latest_successes(wh: Warehouse) -> DataFrame:
+    """Latest successful batch of each table, shop and platform: what the ledger's last merge found, and what came since."""
+    found, tail = wh.read_summary(BATCHES)
+    fresh = operations.latest_success(operations.current_batches(tail))
+    return fresh if found is None else operations.latest_success(found.unionByName(fresh))
+
+
+#: Appends after which a log is put together.
+LOOSE_APPENDS = 64
+
+
+def tidy_logs(wh: Warehouse, most: int = LOOSE_APPENDS) -> list[str]:
+    """Put logs of more than ``most`` loose appends together; the ledger keeps one row of each batch and its summary."""
+    tidied = []
+    for name in (BATCHES, TASKS, ERRORS, RESULTS, ALERTS, FILES):
+        if len(wh.entries(name).appends) > most:
+            of_batches = name == BATCHES
+            done = wh.merge_log(
+                name, operations.latest_events if of_batches else None,
+                (lambda rows: operations.latest_success(operations.current_batches(rows))) if of_batches else None,
+            )
+            tidied += [name] if done else []
+    return tidied
+
+
+# ---- files of the feed -------------------------------------------------------------------
+
+
+def feed_files(wh: Warehouse) -> DataFrame:
+    """The files that were read, as they were when they were read last."""
+    return merge.latest_by_key(wh.read_log(FILES), ["path"], ts="read_at")
+
+
+def record_files(wh: Warehouse, listing: DataFrame, times: DataFrame, batch_id: str, now: datetime) -> None:
+    """Append what a run found in files that were new to it; an empty file has no times."""
+    found = times.withColumnRenamed("source_file", "path")
+    rows = listing.join(found, "path", "left").fillna(0, ["messages"])
+    wh.append(FILES, rows.select("*", F.lit(batch_id).alias("batch_id"), wall(now).alias("read_at")), once=f"files-{batch_id}")
 
 
 def record_batches(
@@ -140,6 +181,31 @@ def _advance_once(wh: Warehouse, reached: DataFrame, now: datetime) -> int:
     return moved
 
 
+# ---- moved days --------------------------------------------------------------------------
+
+
+def record_moves(wh: Warehouse, days: DataFrame, now: datetime) -> None:
+    """Remember days (shop, platform, day) whose summaries a merge has made wrong."""
+    stamped = wh.stage(days.withColumn("recorded_at", wall(now)), "moves")
+    if not stamped.df.isEmpty():
+        def add() -> None:
+            at = wh.version(MOVES)
+            wh.replace(MOVES, merge.merge_replace(wh.read_at(MOVES, at), stamped.df, TABLES[MOVES].key), at=at)
+
+        wh.retried(add)
+    stamped.drop()
+
+
+def settle_moves(wh: Warehouse, done: DataFrame) -> None:
+    """Forget days that were built anew, unless they were recorded again meanwhile."""
+    def remove() -> None:
+        at = wh.version(MOVES)
+        known = wh.read_at(MOVES, at)
+        wh.replace(MOVES, known.join(done, TABLES[MOVES].columns, "left_anti").select(*known.columns), at=at)
+
+    wh.retried(remove)
+
+
 # ---- rules -------------------------------------------------------------------------------
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_lookup
-from ..operators.merge import ACTION, decide, latest_by_key, merge_monotonic
+from ..operators.merge import ACTION, decide, latest_by_key, merge_monotonic, moved_days
 from ..schemas import STR, TABLES, conform
 from ..sources.tables import DAY, GONE, OLD_DAY, PART, SEQ, TS, Warehouse
 
@@ -77,32 +78,47 @@ def _is_small(incoming: DataFrame, rows: int) -> bool:
     return chars * 4 + rows * 16 * len(incoming.columns) <= SMALL_BATCH_BYTES
 
 
-def upsert(wh: Warehouse, name: str, incoming: DataFrame, *, replace_equal: bool = False) -> MergeCounts:
-    """Monotonic merge of ``incoming`` into a stored table; done again if another writer was faster."""
-    counts = wh.retried(lambda: _upsert_once(wh, name, incoming, replace_equal))
+#: Receives ``shop_id, platform, stat_date``: days that rows leave or reach by a merge.
+Moves = Callable[[DataFrame], None]
+
+
+def upsert(
+    wh: Warehouse, name: str, incoming: DataFrame, *, replace_equal: bool = False, moves: Moves | None = None
+) -> MergeCounts:
+    """Monotonic merge of ``incoming`` into a stored table; done again if another writer was faster.
+
+    ``moves`` is told which days rows leave and reach, before the merge can be seen: should the
+    merge fail afterwards, too many days are known and none is missing.
+    """
+    counts = wh.retried(lambda: _upsert_once(wh, name, incoming, replace_equal, moves))
     overdue = wh.overdue(wh.version(name))
     if overdue:
         wh.compact(name, overdue)
     return counts
 
 
-def _upsert_once(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: bool) -> MergeCounts:
+def _upsert_once(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: bool, moves: Moves | None) -> MergeCounts:
     at = wh.version(name)
     landing = _landing(wh, name, incoming)
     if not landing:
         return MergeCounts()
     stored = sum(x.rows + x.delta_rows for p, x in at.parts.items() if p in landing)
     if sum(landing.values()) >= REWRITE_SHARE * stored:
-        return _rewrite(wh, name, incoming, replace_equal, at, landing)
-    return _put_delta(wh, name, incoming, replace_equal, at)
+        return _rewrite(wh, name, incoming, replace_equal, at, landing, moves)
+    return _put_delta(wh, name, incoming, replace_equal, at, moves)
 
 
-def _rewrite(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: bool, at, landing: dict[str, int]) -> MergeCounts:
+def _rewrite(
+    wh: Warehouse, name: str, incoming: DataFrame, replace_equal: bool, at, landing: dict[str, int], moves: Moves | None
+) -> MergeCounts:
     """Joins the touched periods with the incoming rows and writes them anew."""
     spec = TABLES[name]
     touched = touched_partitions(wh, name, incoming, at, landing)
     rows = conform(incoming, spec.schema)
     stored = wh.read_parts(name, touched.parts, at)
+    if moves and at.parts:
+        both = (x.withColumn("stat_date", spec.filing_date()) for x in (stored, rows))
+        moves(moved_days(*both, spec.key, "stat_date", ("shop_id", "platform"), replace_equal=replace_equal))
     merged = merge_monotonic(
         stored, rows, spec.key, replace_equal=replace_equal, with_action=True,
         broadcast_incoming=bool(at.parts) and _is_small(rows, touched.incoming_rows),
@@ -114,7 +130,7 @@ def _rewrite(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: bool,
     return MergeCounts(**{a: seen.get[a] for a in actions})
 
 
-def _put_delta(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: bool, at) -> MergeCounts:
+def _put_delta(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: bool, at, moves: Moves | None) -> MergeCounts:
     """Adds the rows that change over what is there; reads the index buckets of the incoming keys and no partition."""
     spec = TABLES[name]
     keys = list(spec.key)
@@ -123,12 +139,20 @@ def _put_delta(wh: Warehouse, name: str, incoming: DataFrame, replace_equal: boo
     rows = wh.stage(newest, "incoming")
     sizes = {r["_bucket"]: r["count"] for r in rows.df.groupBy("_bucket").count().collect()}
     changes, seen = planned_delta(wh, name, rows.df.drop("_bucket"), sizes, replace_equal, at)
-    wh.put_delta(name, changes, at)
+    wh.put_delta(name, changes, at, moves and (lambda delta: moves(_moved(spec, delta))))
     rows.drop()
     counts = seen.get
     return MergeCounts(**{a: counts[a] or 0 for a in ("inserted", "updated", "ignored")})
 
 
+def _moved(spec, delta: DataFrame) -> DataFrame:
+    """Days that the rows of a delta leave and reach; the platform of a row is taken as it is now."""
+    now = spec.filing_date()
+    changed = delta.where(~F.col(GONE) & F.col(OLD_DAY).isNotNull() & ~F.col(OLD_DAY).eqNullSafe(now))
+    days = F.explode(F.array(F.col(OLD_DAY), now)).alias("stat_date")
+    return changed.select("shop_id", "platform", days).where("stat_date IS NOT NULL").distinct()
+
+
 def planned_delta(
     wh: Warehouse, name: str, rows: DataFrame, sizes: dict[int, int], replace_equal: bool, at
 ) -> tuple[DataFrame, Observation]:

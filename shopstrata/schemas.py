@@ -92,7 +92,7 @@ DQ_RESULT = _schema(
 )
 MOVED_DAY = _schema(shop_id=LONG, platform=STR, stat_date=DATE, recorded_at=TS)
 PRODUCT_SIGHTING = _schema(
-    shop_id=LONG, product_id=STR, product_name=STR, first_seen_at=TS, last_seen_at=TS, period=STR, source=STR,
+    shop_id=LONG, platform=STR, product_id=STR, product_name=STR, first_seen_at=TS, last_seen_at=TS, period=STR,
 )
 FEED_FILE = _schema(
     path=STR, bytes=LONG, modified_at=TS, messages=LONG, first_time=TS, last_time=TS, batch_id=STR, read_at=TS,
@@ -112,6 +112,14 @@ class TableSpec:
     schema: T.StructType
     key: tuple[str, ...]
     dated_by: tuple[str, ...] = ()
+    #: First columns of the key that an index is filed by (0: all), so that they can be looked up alone.
+    bucketed: int = 0
+    #: A column that names the period itself.
+    filed_as: str = ""
+
+    @property
+    def bucket_key(self) -> tuple[str, ...]:
+        return self.key[: self.bucketed] if self.bucketed else self.key
 
     @property
     def merged_by_key(self) -> bool:
@@ -130,7 +138,7 @@ TABLES: dict[str, TableSpec] = {
     spec.name: spec
     for spec in (
         TableSpec("dw.ods_orders", ODS_ORDERS, ("shop_id", "order_id"), ("created_at", "updated_at")),
-        TableSpec("dw.ods_order_items", ODS_ITEMS, ("shop_id", "order_id", "item_id"), ("updated_at",)),
+        TableSpec("dw.ods_order_items", ODS_ITEMS, ("shop_id", "order_id", "item_id"), ("updated_at",), bucketed=2),
         TableSpec("dw.dwd_orders", DWD_ORDERS, ("shop_id", "order_id"), ("stat_date",)),
         TableSpec("dw.dwd_order_items", DWD_ITEMS, ("shop_id", "order_id", "item_id"), ("updated_at",)),
         TableSpec("dw.dim_shop", DIM_SHOP, ("shop_key",)),
@@ -140,7 +148,7 @@ TABLES: dict[str, TableSpec] = {
         TableSpec("dw.dws_product_daily", DWS_PRODUCT_DAILY, ("stat_date", "shop_id", "product_id"), ("stat_date",)),
         TableSpec("dw.ads_shop_overview", ADS_SHOP_OVERVIEW, ("stat_date", "shop_id"), ("stat_date",)),
         TableSpec("dw.ads_daily_kpi", ADS_DAILY_KPI, ("stat_date", "platform"), ("stat_date",)),
-        TableSpec("dw.dim_product_sighting", PRODUCT_SIGHTING, ("shop_id", "product_id", "product_name", "period")),
+        TableSpec("dw.dim_product_sighting", PRODUCT_SIGHTING, (), filed_as="period"),
         TableSpec("etl_meta.moved_day", MOVED_DAY, ("shop_id", "platform", "stat_date")),
         TableSpec("etl_meta.etl_feed_file", FEED_FILE, ("path",), ("read_at",)),
         TableSpec("etl_meta.etl_watermark", WATERMARK, ("table_name", "shop_id", "platform")),

@@ -8,6 +8,7 @@ inferred, and the original text is what gets stored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,11 @@ from pyspark.sql import types as T
 _LEVELS = {"platform": "string", "arrived": "date", "shop_id": "bigint"}
 
 
-def _feed_columns(raw: DataFrame, platform: str | None) -> DataFrame:
+def _feed_columns(raw: DataFrame, platform: str | None, *more: str) -> DataFrame:
     named = F.col("platform") if "platform" in raw.columns else F.lit(platform).cast("string")
     shop = F.col("shop_id") if "shop_id" in raw.columns else F.lit(None)
     return raw.where(F.length(F.trim("value")) > 0).select(
-        named.alias("platform"), shop.cast("bigint").alias("source_shop_id"), "value"
+        named.alias("platform"), shop.cast("bigint").alias("source_shop_id"), "value", *more
     )
 
 
@@ -39,6 +40,22 @@ def scan_feed(
     return _feed_columns(raw, platform)
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, bytes, modified_at`` of the files of a landing directory; nothing is read of them."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return listed.select(
+        "path", F.col("length").alias("bytes"), F.col("modificationTime").cast("timestamp_ntz").alias("modified_at")
+    )
+
+
+def scan_files(spark: SparkSession, path: str, files: Sequence[str], *, platform: str | None = None) -> DataFrame:
+    """The messages of some files of a landing directory, each with the ``source_file`` it stands in."""
+    if not files:
+        return spark.createDataFrame([], "platform string, source_shop_id bigint, value string, source_file string")
+    raw = spark.read.option("basePath", path).text(list(files)).withColumn("source_file", F.col("_metadata.file_path"))
+    return _feed_columns(raw, platform, "source_file")
+
+
 def stream_feed(
     spark: SparkSession, path: str, *, platform: str | None = None, levels: tuple[str, ...] = (),
     max_files: int | None = None,

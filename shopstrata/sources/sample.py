@@ -139,6 +139,32 @@ def merge_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- feed messages -----------------------------------------------------------------------
 
 
+def dated_anew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incoming rows of the merge, every seventh with a creation time three days later."""
+    later = F.col("created_at") + F.make_dt_interval(F.lit(3))
+    return merge_incoming(spark, sf_dir).withColumn(
+        "created_at", F.when(F.col("order_id").cast("bigint") % 7 == 0, later).otherwise(F.col("created_at"))
+    )
+
+
+def feed_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Files of a feed, one for each shop and day of orders, and the ledger of those read before.
+
+    Those of the first two weeks of a month were read; some have grown since.
+    """
+    day = F.to_date("updated_at")
+    files = ods_orders(spark, sf_dir).groupBy(
+        F.concat(F.lit("shop_id="), F.col("shop_id").cast("string"), F.lit("/"), day.cast("string"), F.lit(".json")).alias("path"),
+        day.alias("day"),
+    ).agg(
+        F.sum("order_amount_cents").alias("bytes"), F.max(F.col("updated_at")).alias("last_time"),
+    ).withColumn("modified_at", F.col("last_time"))
+    grown = F.when(F.dayofmonth("day") % 5 == 0, F.col("bytes") - 1).otherwise(F.col("bytes"))
+    return files.select("path", "bytes", "modified_at"), files.where(F.dayofmonth("day") <= 14).select(
+        "path", grown.alias("bytes"), "modified_at", "last_time"
+    )
+
+
 def _yuan(cents: Column) -> Column:
     return (cents.cast("decimal(20,0)") / 100).cast("decimal(20,2)").cast("string")
 

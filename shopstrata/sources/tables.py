@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 from datetime import date
 from typing import TypeVar
@@ -122,12 +122,19 @@ class Part:
     deltas: tuple[str, ...] = ()
     rows: int = 0
     delta_rows: int = 0
+    #: What a derived period was made from, in words of its maker.
+    made_from: str = ""
 
     @staticmethod
     def of(value: str | dict) -> Part:
         if isinstance(value, str):
             return Part(value)
-        return Part(value["base"], tuple(value["deltas"]), value["rows"], value["delta_rows"])
+        return Part(value["base"], tuple(value["deltas"]), value["rows"], value["delta_rows"], value.get("made_from", ""))
+
+    @property
+    def content(self) -> str:
+        """Names the rows of a period: equal as long as nothing was merged into it."""
+        return "+".join([self.base or "", *self.deltas])
 
 
 @dataclass(frozen=True)
@@ -267,6 +274,8 @@ class Warehouse:
         raise AssertionError
 
     def part_column(self, spec: TableSpec):
+        if spec.filed_as:
+            return F.col(spec.filed_as)
         if not spec.dated_by:
             return F.lit(WHOLE)
         return self.period_column(spec.filing_date())
@@ -278,7 +287,8 @@ class Warehouse:
     # ---- replacing -----------------------------------------------------------------------
 
     def replace(
-        self, name: str, df: DataFrame, parts: Sequence[str] | None = None, *, at: _Pointer | None = None
+        self, name: str, df: DataFrame, parts: Sequence[str] | None = None, *, at: _Pointer | None = None,
+        made_from: Mapping[str, str] | None = None,
     ) -> None:
         """Replace ``parts`` (all by default) by the rows of ``df``.
 
@@ -293,7 +303,7 @@ class Warehouse:
         before = at or self._pointer(name)
         attempt, target = self._attempt(name, before)
         filed = conform(df, spec.schema).withColumn("part", self.part_column(spec))
-        if spec.dated_by and (parts is None or len(parts) > FEW_PARTS):
+        if (spec.dated_by or spec.filed_as) and (parts is None or len(parts) > FEW_PARTS):
             filed = filed.hint("rebalance", "part")
         written = self._write_parts(filed, target, spec.merged_by_key)
         unexpected = [] if parts is None else sorted(set(written) - set(parts))
@@ -301,7 +311,10 @@ class Warehouse:
             raise ValueError(f"{name}: rows outside the replaced partitions: {unexpected[:5]}")
         kept = {} if parts is None else {p: x for p, x in before.parts.items() if p not in set(parts)}
         # an index is made anew by the next small merge; until then the partitions speak for themselves
-        self._publish(name, _Pointer(before.number + 1, {**kept, **{p: Part(attempt, rows=n) for p, n in written.items()}}))
+        fresh = {p: Part(attempt, rows=n, made_from=(made_from or {}).get(p, "")) for p, n in written.items()}
+        if made_from:  # a period without rows is still made from something
+            fresh = {**{p: Part(made_from=text) for p, text in made_from.items()}, **fresh}
+        self._publish(name, _Pointer(before.number + 1, {**kept, **fresh}))
 
     def _attempt(self, name: str, before: _Pointer) -> tuple[str, str]:
         attempt = f"{before.number + 1:06d}-{uuid.uuid4().int % 10**9:09d}"
@@ -335,7 +348,7 @@ class Warehouse:
         return replace(at, index=Index(buckets, rows, {b: (attempt,) for b in layers}))
 
     def bucket(self, spec: TableSpec, buckets: int):
-        return F.pmod(F.xxhash64(*spec.key), F.lit(buckets)).cast("int")
+        return F.pmod(F.xxhash64(*spec.bucket_key), F.lit(buckets)).cast("int")
 
     def _write_layer(self, name: str, rows: DataFrame, attempt: str, buckets: int) -> list[int]:
         target = f"{self._dir(name)}/_index/layer={attempt}"
@@ -356,10 +369,25 @@ class Warehouse:
         ]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def put_delta(self, name: str, changes: DataFrame, at: _Pointer) -> DataFrame:
+    def with_index(self, name: str) -> _Pointer:
+        """The current version with an index, published if it had to be made."""
+        at = self._pointer(name)
+        indexed = self.index(name, at)
+        if indexed is at:
+            return at
+        try:
+            self._publish(name, replace(indexed, number=at.number + 1))
+        except ConcurrentWrite:
+            return indexed  # good for the version it was made from
+        return replace(indexed, number=at.number + 1)
+
+    def put_delta(
+        self, name: str, changes: DataFrame, at: _Pointer, before: Callable[[DataFrame], None] | None = None
+    ) -> None:
         """Publish ``changes`` (table columns, ``_gone``, ``_part``, ``_old_day``) over the version ``at``, which has an index.
 
-        Returns the delta as it was written.  A period without a base takes its rows as one.
+        ``before`` is given the delta as it was written, before any reader sees it.  A period without a
+        base takes its rows as one.
         """
         spec = TABLES[name]
         attempt, target = self._attempt(name, at)
@@ -381,8 +409,9 @@ class Warehouse:
             for b in self._write_layer(name, rows, attempt, index.buckets):
                 layers[b] = (*layers.get(b, ()), attempt)
             index = replace(index, keys=index.keys + sum(written.values()), layers=layers)
+        if before and written:
+            before(delta)
         self._publish(name, _Pointer(number, parts, index))
-        return delta
 
     def overdue(self, at: _Pointer) -> list[str]:
         """Periods whose deltas have grown too many or too large."""

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from feed_messages import column, item, messages, order
 
 from shopstrata.operators.quality import Rule
 from shopstrata.operators.windows import TimeWindow
-from shopstrata.plans import state
-from shopstrata.plans.ingest import DataBlocked, DeadLetterLimitExceeded, IngestSettings, ingest_batch
+from shopstrata.plans import reporting, state
+from shopstrata.plans.ingest import DataBlocked, DeadLetterLimitExceeded, IngestSettings, ingest_batch, ingest_directory
+from shopstrata.sources import landing
 
 NOW = datetime(2026, 9, 2)
 OPEN = IngestSettings(dead_letter_limit=0.0)
@@ -224,3 +226,66 @@ def test_silent_registered_shops_advance_too(spark, wh):
     shops = spark.createDataFrame([(1, "canned"), (7, "canned")], "shop_id bigint, platform string")
     assert ingest_batch(wh, messages(spark, [order(1)]), now=NOW, shops=shops).watermarks_moved == 2
     assert column(wh.read(state.WATERMARKS), "shop_id") == [1, 7]
+
+
+def test_a_fraction_in_text_is_no_quantity(spark, wh):
+    lines = [item("a", "P1", quantity=2.7), item("b", "P1", quantity=" 3 "), item("c", "P1", quantity="4")]
+    ingest_batch(wh, messages(spark, [order(1, items=lines)]), now=NOW)
+    assert column(wh.read("dw.ods_order_items"), "quantity") == [2, 3, 4]
+    bad = [order(2, items=[item("d", "P1", quantity="2.7")]), order(3, items=[item("e", "P1", quantity="1e1")])]
+    with pytest.raises(DeadLetterLimitExceeded):
+        ingest_batch(wh, messages(spark, bad), now=NOW, run_type="full")
+    assert wh.read("dw.ods_order_items").count() == 3
+
+
+# ---- a landing directory and its ledger of files --------------------------------------------
+
+
+def put(folder, name, rows):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in rows))
+
+
+def test_a_second_run_reads_new_files_only(spark, wh, tmp_path, monkeypatch):
+    feed_dir = tmp_path / "feed"
+    day = feed_dir / "platform=canned"
+    put(day, "a.json", [order(1, updated=NOW - timedelta(days=3)), order(2, updated=NOW - timedelta(days=2))])
+    put(day, "b.json", [order(3, updated=NOW - timedelta(minutes=30)), order(4, updated=NOW - timedelta(minutes=2))])
+    put(day, "odd.json", [order(5, updated_at="some day")])
+    read, scan = [], landing.scan_files
+    monkeypatch.setattr(
+        landing, "scan_files", lambda s, p, files, **k: read.append(sorted(f.rsplit("/", 1)[1] for f in files)) or scan(s, p, files, **k)
+    )
+    lenient = IngestSettings(dead_letter_limit=0.9)
+    first = ingest_directory(wh, str(feed_dir), now=NOW, settings=lenient)
+    assert (first.orders.inserted, first.dead_letters) == (3, 2)  # an order and its items; order 4 is younger than the delay
+    put(day, "c.json", [order(6, updated=NOW - timedelta(days=30)), order(7, updated=NOW)])
+    second = ingest_directory(wh, str(feed_dir), now=NOW + timedelta(minutes=10), settings=lenient)
+    # b may hold something for the window, a and odd do not; the message without a time was counted
+    assert read == [["a.json", "b.json", "odd.json"], ["b.json", "c.json"]]
+    assert (second.orders.inserted, second.dead_letters) == (2, 0)
+    put(day, "a.json", [order(1, updated=NOW - timedelta(days=3)), order(8, updated=NOW + timedelta(minutes=11))])
+    third = ingest_directory(wh, str(feed_dir), now=NOW + timedelta(minutes=20), settings=lenient)
+    assert read[2] == ["a.json", "b.json", "c.json"] and third.orders.inserted == 1  # a has changed
+    assert column(wh.read("dw.ods_orders"), "order_id") == ["C0001", "C0002", "C0003", "C0004", "C0007", "C0008"]
+    files = {r.path.rsplit("/", 1)[1]: (r.messages, r.last_time) for r in state.feed_files(wh).collect()}
+    assert files["odd.json"] == (1, None) and files["b.json"] == (2, NOW - timedelta(minutes=2))
+
+
+def test_metrics_read_the_same_from_a_merged_ledger(spark, wh):
+    for n in range(3):
+        at = NOW + timedelta(hours=n)
+        sent = [order(n, updated=at - timedelta(minutes=30)), order(50 + n, shop_id=2, updated=at - timedelta(minutes=30))]
+        ingest_batch(wh, messages(spark, sent), now=at)
+    late = NOW + timedelta(hours=3)
+    before = [tuple(r) for r in reporting.pipeline_metrics(wh, late).orderBy("metric", "table_name", "shop_id").collect()]
+    events = wh.read_log(state.BATCHES).count()
+    assert state.BATCHES in state.tidy_logs(wh, 0) and wh.entries(state.BATCHES).appends == {}
+    assert wh.read_log(state.BATCHES).count() < events
+    after = [tuple(r) for r in reporting.pipeline_metrics(wh, late).orderBy("metric", "table_name", "shop_id").collect()]
+    assert after == before
+    ingest_batch(wh, messages(spark, [order(9, updated=late - timedelta(minutes=30))]), now=late)
+    delays = {r.shop_id: r.value for r in reporting.pipeline_metrics(wh, late).where("metric = 'etl_batch_delay_minutes'").collect()}
+    assert delays == {1: 5.0, 2: 65.0}
+    listed = {f.split("part=")[1][:7] for f in wh.read_log(state.BATCHES, since=date(2026, 10, 1)).inputFiles()}
+    assert listed == set()
