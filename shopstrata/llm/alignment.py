@@ -32,6 +32,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -55,6 +56,8 @@ A_BITS = 24
 #: Parts kept in a worker between steps, by number and by the length of their texts and groups.
 KEPT_PARTS = 300_000
 KEPT_CHARS = 48 << 20
+#: Uses since the last clearing that keep a part.
+USUAL = 3
 #: Counts of pairs that travel together.
 PIECE = 1 << 16
 CUT_AT = re.compile(r"(?<=\S) ")
@@ -117,30 +120,44 @@ class Aligner:
         ]
         self.whole = any(SPACE_MARK in n.lstrip(SPACE_MARK) for n in names)
         self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.codes: list[bytes] = []  # links of each part
-        self.groups: list[str] = []
-        self.counts: list[tuple[int, int, int, int]] = []  # tokens of A and B, groups, whether the bytes agree
-        self.table = np.zeros((0, 4), np.int64)
-        self.held = 0
+        #: Each id as text, with the sign that follows it inside a group and at its end.
+        self.names_a = [np.array([f"{i}{c}" for i in range(len(self.bytes_a))], object) for c in ",|"]
+        self.names_b = [np.array([f"{i}{c}" for i in range(len(self.bytes_b))], object) for c in ",;"]
+        self._keep(np.zeros(0, np.int64))
+
+    def _keep(self, kept: np.ndarray) -> None:
+        """Forgets all parts but some."""
+        if len(kept):
+            names = list(self.place)
+            self.place = {names[x]: k for k, x in enumerate(kept.tolist())}
+            self.codes, self.groups = ([x[k] for k in kept.tolist()] for x in (self.codes, self.groups))
+            self.table, self.uses = self.table[kept], np.zeros(len(kept), np.int64)
+        else:
+            self.place: dict[str, int] = {}
+            self.codes: list[bytes] = []  # links of each part
+            self.groups: list[str] = []  # with a ; behind each
+            self.table = np.zeros((0, 5), np.int64)  # tokens of A and B, groups, links, whether the bytes agree
+            self.uses = np.zeros(0, np.int64)
+        self.held = sum(map(len, self.place)) + sum(map(len, self.groups)) + sum(map(len, self.codes))
 
     def parts(self, text: str) -> list[str]:
         """The text's parts; each has one more space in front of it."""
         return [text] if self.whole else CUT_AT.split(text)
 
     def places(self, parts: list[str]) -> np.ndarray:
-        """Where each part stands in the cache, which learns those it lacks."""
+        """Where each part stands in the cache, which learns those it lacks and keeps the frequent ones when it is full."""
         if len(self.place) > KEPT_PARTS or self.held > KEPT_CHARS:
-            self._forget()
+            usual = np.flatnonzero(self.uses >= USUAL)
+            small = self.held <= KEPT_CHARS
+            self._keep(usual[np.argsort(-self.uses[usual], kind="stable")[: KEPT_PARTS // 2]] if small else usual[:0])
         found = list(map(self.place.get, parts))
-        missing = list(dict.fromkeys(p for p, f in zip(parts, found, strict=True) if f is None)) if None in found else []
-        if missing:
-            self._learn(missing)
+        if None in found:
+            missing = dict.fromkeys(parts)
+            self._learn([p for p in missing if p not in self.place])
             found = list(map(self.place.__getitem__, parts))
-        return np.array(found, np.int64)
+        out = np.array(found, np.int64)
+        self.uses += np.bincount(out, minlength=len(self.uses))
+        return out
 
     def _ids_a(self, parts: list[str]) -> list[bytes]:
         """A word and the mark behind it never share a token of A, so words are encoded once for both."""
@@ -151,45 +168,74 @@ class Aligner:
         return [ids[w] + marks[m] for w, m in split]
 
     def _learn(self, parts: list[str]) -> None:
-        raw = [(" " + p).encode() for p in parts]
-        a = [np.frombuffer(x, "<u4").astype(np.int64) for x in self._ids_a(parts)]
-        b = [np.array(x, np.int64) for x in self.pieces.encode(parts, out_type=int, num_threads=1)]
+        ids_a, ids_b = self._ids_a(parts), self.pieces.encode(parts, out_type=int, num_threads=1)
         if "" in parts:  # the space at a text's end; a text of its own would get none in front
-            b[parts.index("")] = np.array([self.pieces.piece_to_id(SPACE_MARK)], np.int64)
-        good = [
-            b"".join(map(self.bytes_a.__getitem__, x)) == t == b"".join(map(self.bytes_b.__getitem__, y))
-            for x, y, t in zip(a, b, raw, strict=True)
+            ids_b[parts.index("")] = [self.pieces.piece_to_id(SPACE_MARK)]
+        raw = [(" " + p).encode() for p in parts]
+        agree = self._agree(ids_a, ids_b, raw)
+        table = np.zeros((len(parts), 5), np.int64)
+        chosen = [k for k, good in enumerate(agree) if good]
+        codes, groups = [b""] * len(parts), [""] * len(parts)
+        if chosen:
+            own = self._align([ids_a[k] for k in chosen], [ids_b[k] for k in chosen], [len(raw[k]) for k in chosen])
+            for k, links, strings in zip(chosen, *own[:2], strict=True):
+                codes[k], groups[k] = links, strings
+            table[chosen] = own[2]
+        self.place.update(zip(parts, range(len(self.codes), len(self.codes) + len(parts)), strict=True))
+        self.codes += codes
+        self.groups += groups
+        self.table = np.concatenate([self.table, table])
+        self.uses = np.concatenate([self.uses, np.zeros(len(parts), np.int64)])
+        self.held += sum(map(len, raw)) + sum(map(len, groups)) + sum(map(len, codes))
+
+    def _agree(self, ids_a: list[bytes], ids_b: list[list[int]], raw: list[bytes]) -> list[bool]:
+        """Whether both sides give each part back. All parts are compared as one; only if they differ, one by one."""
+
+        def spelt(ids: list[int], table: list[bytes]) -> bytes:
+            return b"".join(map(table.__getitem__, ids))
+
+        def numbers(ids: bytes) -> list[int]:
+            return np.frombuffer(ids, "<u4").tolist()
+
+        all_a, all_b = np.frombuffer(b"".join(ids_a), "<u4"), np.fromiter(chain.from_iterable(ids_b), np.int64)
+        upto_a, upto_b = np.cumsum([len(x) // 4 for x in ids_a]), np.cumsum(list(map(len, ids_b)))
+        ends = np.cumsum(list(map(len, raw)))
+        reach = [np.r_[0, np.cumsum(size[ids])][upto] for size, ids, upto in ((self.size_a, all_a, upto_a), (self.size_b, all_b, upto_b))]
+        text = b"".join(raw)
+        if all((r == ends).all() for r in reach) and spelt(all_a.tolist(), self.bytes_a) == text == spelt(all_b.tolist(), self.bytes_b):
+            return [True] * len(raw)
+        return [
+            spelt(numbers(a), self.bytes_a) == t == spelt(b, self.bytes_b) for a, b, t in zip(ids_a, ids_b, raw, strict=True)
         ]
-        chosen = [k for k, g in enumerate(good) if g]
-        links, strings = self._align([a[k] for k in chosen], [b[k] for k in chosen], [len(raw[k]) for k in chosen])
-        linked = dict(zip(chosen, zip(links, strings, strict=True), strict=True))
-        for k, part in enumerate(parts):
-            codes, groups = linked.get(k, (b"", ""))
-            self.place[part] = len(self.codes)
-            self.codes.append(codes)
-            self.groups.append(groups)
-            self.counts.append((len(a[k]), len(b[k]), groups.count(";") + 1, int(good[k])))
-            self.held += len(part) + len(groups) + len(codes)
-        self.table = np.concatenate([self.table, np.array(self.counts[len(self.table) :], np.int64).reshape(-1, 4)])
-
-    def _align(self, a: list[np.ndarray], b: list[np.ndarray], sizes: list[int]) -> tuple[list[bytes], list[str]]:
-        """Links and groups of parts whose bytes agree; all parts are laid end to end and merged at once."""
-        if not sizes:
-            return [], []
-        all_a, all_b, last = np.concatenate(a), np.concatenate(b), np.cumsum(sizes)
+
+    def _align(self, a: list[bytes], b: list[list[int]], sizes: list[int]) -> tuple[list[bytes], list[str], np.ndarray]:
+        """Links, groups and figures of parts whose bytes agree; all parts are laid end to end and merged at once."""
+        all_a, all_b = np.frombuffer(b"".join(a), "<u4").astype(np.int64), np.fromiter(chain.from_iterable(b), np.int64)
+        last = np.cumsum(sizes)
         end_a, end_b = np.cumsum(self.size_a[all_a]), np.cumsum(self.size_b[all_b])
-        ends, common = np.union1d(end_a, end_b), np.intersect1d(end_a, end_b)
+        closes_a, closes_b = np.zeros(last[-1] + 1, bool), np.zeros(last[-1] + 1, bool)
+        closes_a[end_a] = closes_b[end_b] = True
+        ends, common = np.flatnonzero(closes_a | closes_b), np.flatnonzero(closes_a & closes_b)
         codes = all_b[np.searchsorted(end_b, ends)] << A_BITS | all_a[np.searchsorted(end_a, ends)]
-        upto = np.searchsorted(ends, last, "right").tolist()
-        links = [codes[i:j].tobytes() for i, j in zip([0, *upto], upto, strict=False)]
-        names_a, names_b = list(map(str, all_a.tolist())), list(map(str, all_b.tolist()))
-        cut_a, cut_b = (np.searchsorted(x, common, "right").tolist() for x in (end_a, end_b))
-        groups = [
-            ",".join(names_a[i:j]) + "|" + ",".join(names_b[k:m])
-            for i, j, k, m in zip([0, *cut_a], cut_a, [0, *cut_b], cut_b, strict=False)
-        ]
-        upto = np.searchsorted(common, last, "right").tolist()
-        return links, [";".join(groups[i:j]) for i, j in zip([0, *upto], upto, strict=False)]
+        links, groups = np.searchsorted(ends, last, "right"), np.searchsorted(common, last, "right")
+        linked = codes.tobytes()
+        stops = (links * 8).tolist()
+        # ids as text in the order of the groups, A's before B's
+        of_a, of_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
+        upto_a, upto_b = np.searchsorted(end_a, common, "right"), np.searchsorted(end_b, common, "right")
+        words = np.empty(len(all_a) + len(all_b), object)
+        at_a = np.arange(len(all_a)) + np.r_[0, upto_b][of_a]
+        at_b = np.arange(len(all_b)) + upto_a[of_b]
+        for at, ids, closing, names in ((at_a, all_a, closes_b[end_a], self.names_a), (at_b, all_b, closes_a[end_b], self.names_b)):
+            words[at] = np.where(closing, names[1][ids], names[0][ids])
+        spelt, upto = words.tolist(), (upto_a + upto_b)[groups - 1].tolist()
+        tokens = [np.diff(np.searchsorted(x, last, "right"), prepend=0) for x in (end_a, end_b)]
+        figures = [*tokens, np.diff(groups, prepend=0), np.diff(links, prepend=0), np.ones(len(last), np.int64)]
+        return (
+            [linked[i:j] for i, j in zip([0, *stops], stops, strict=False)],
+            ["".join(spelt[i:j]) for i, j in zip([0, *upto], upto, strict=False)],
+            np.stack(figures, axis=1),
+        )
 
     def step(self, texts: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
         """Figures of each text, and the links' codes with the number of their text."""
@@ -197,22 +243,20 @@ class Aligner:
         places = self.places([p for own in parts for p in own])
         sizes = np.array(list(map(len, parts)), np.int64)
         stops = np.cumsum(sizes)
-        counts = self.table[places]
-        figures, agreed = [], np.zeros(len(texts), bool)
-        for k, (i, j) in enumerate(zip((stops - sizes).tolist(), stops.tolist(), strict=True)):
-            agreed[k] = i < j and bool(counts[i:j, 3].all())
-            if not agreed[k]:
+        sums = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(self.table[places], axis=0)])
+        of_text = sums[stops] - sums[stops - sizes]
+        agreed = (sizes > 0) & (of_text[:, 4] == sizes)
+        strings = list(map(self.groups.__getitem__, places.tolist()))
+        figures = []
+        for good, own, i, j in zip(agreed.tolist(), of_text.tolist(), (stops - sizes).tolist(), stops.tolist(), strict=True):
+            if good:
+                figures.append((*own[:4], hashlib.sha256("".join(strings[i:j])[:-1].encode()).hexdigest()))
+            else:
                 figures.append((0, 0, 0, 0, ""))
-                continue
-            own = places[i:j].tolist()
-            groups = ";".join(map(self.groups.__getitem__, own))
-            n_links = sum(len(self.codes[x]) for x in own) // 8
-            figures.append((*counts[i:j, :3].sum(axis=0).tolist(), n_links, hashlib.sha256(groups.encode()).hexdigest()))
         text_of = np.repeat(np.arange(len(texts)), sizes)
         used = agreed[text_of]
-        joined = [self.codes[x] for x in places[used].tolist()]
-        codes = np.frombuffer(b"".join(joined), np.int64)
-        return figures, codes, np.repeat(text_of[used], np.array(list(map(len, joined)), np.int64) // 8)
+        codes = np.frombuffer(b"".join(map(self.codes.__getitem__, places[used].tolist())), np.int64)
+        return figures, codes, np.repeat(text_of[used], self.table[places[used], 3])
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
