@@ -189,13 +189,15 @@ def _build(
     wh: Warehouse, registry: DataFrame, since: date, end: date, now: datetime, batch: str,
     status_map: StatusMap | None, holidays: Mapping[date, str] | None, alert: Callable[[DataFrame], None],
 ) -> tuple[BuildSummary, Staged]:
-    """Three rounds of writes; those of one round only depend on earlier rounds."""
+    """Details and summaries side by side, then the reports over them."""
     keys = registry.select(*SHOP)
     day_before = since - timedelta(days=1)
     orders = join_lookup(
         facts.business_window(wh.read("dw.ods_orders", since=since, end=end), since, end), keys, SHOP, "order_id", "left_semi"
     )
-    dwd = facts.dwd_orders(orders, batch, status_map)
+    # every step below starts from these rows, so the window is read and joined once
+    staged = wh.stage(facts.dwd_orders(orders, batch, status_map), "dwd")
+    dwd = staged.df
     whole = set(wh.parts("dw.ods_orders")) <= {p for p in wh.parts("dw.ods_orders") if p >= wh.period(since)}
 
     def product_dimension() -> None:
@@ -211,26 +213,29 @@ def _build(
 
         wh.retried(write)
 
-    _, opened, order_counts, items, *_ = in_parallel(
+    def window_items() -> tuple[Staged, MergeCounts]:
+        items = wh.stage(facts.dwd_items(order_items(wh, dwd, everything=whole), batch), "items")
+        merged, _ = in_parallel(
+            lambda: upsert(wh, "dw.dwd_order_items", items.df, replace_equal=True),
+            lambda: _overwrite(wh, "dw.dws_product_daily", daily.product_daily(dwd, items.df), since, end, keys),
+        )
+        return items, merged
+
+    _, opened, order_counts, (items, item_counts), *_ = in_parallel(
         lambda: refresh_calendar(wh, since, end, holidays),
         lambda: sync_shops(wh, registry, end),
         lambda: upsert(wh, "dw.dwd_orders", dwd, replace_equal=True),
-        lambda: wh.stage(facts.dwd_items(order_items(wh, orders, everything=whole), batch), "items"),
+        window_items,
         product_dimension,
         lambda: _overwrite(wh, "dw.dws_shop_daily", daily.shop_daily(dwd), since, end, keys),
     )
-    item_counts, *_ = in_parallel(
-        lambda: upsert(wh, "dw.dwd_order_items", items.df, replace_equal=True),
-        lambda: _overwrite(wh, "dw.dws_product_daily", daily.product_daily(dwd, items.df), since, end, keys),
-    )
     read = (
-        orders.select(*SHOP, F.lit(1).alias("_order"))
+        dwd.select(*SHOP, F.lit(1).alias("_order"))
         .unionByName(items.df.select(*SHOP, F.lit(0).alias("_order")))
         .groupBy(*SHOP)
         .agg(F.count(F.lit(1)).alias("rows_read"), F.sum("_order").alias("rows_written"))
     )
-    counts = wh.stage(keys.join(read, SHOP, "left").fillna(0, ["rows_read", "rows_written"]), "counts")
-    items.drop()
+    counted = keys.join(read, SHOP, "left").fillna(0, ["rows_read", "rows_written"])
 
     shop_days = wh.read("dw.dws_shop_daily", since=day_before)
     overview = reports.shop_overview(
@@ -240,11 +245,14 @@ def _build(
     platforms = keys.select("platform").distinct()
     kpi = reports.daily_kpi(shop_days.join(platforms, ["platform"], "left_semi"), since=since)
     days = wh.parts("dw.dws_shop_daily")  # a report has no day that the summary has not
-    in_parallel(
+    counts, *_ = in_parallel(
+        lambda: wh.stage(counted, "counts"),
         lambda: _overwrite(wh, "dw.ads_shop_overview", _fitted(overview, "dw.ads_shop_overview"), since, FOREVER, keys, days),
         lambda: _overwrite(wh, "dw.ads_daily_kpi", _fitted(kpi, "dw.ads_daily_kpi"), since, FOREVER, platforms, days),
         lambda: alert(_misfits(overview, "dw.ads_shop_overview").unionByName(_misfits(kpi, "dw.ads_daily_kpi"))),
     )
+    for done in (staged, items):
+        done.drop()
     return BuildSummary(batch, since, end, opened, order_counts, item_counts), counts
 
 

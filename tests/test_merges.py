@@ -103,11 +103,11 @@ def test_a_delta_that_was_overtaken_is_decided_again(spark, wh, monkeypatch):
     upsert.upsert(wh, ORDERS, year(spark))
     once, put = [], wh.put_delta
 
-    def overtaken(name, changes, at):
+    def overtaken(name, changes, at, before=None):
         if not once:
             once.append(name)
             upsert.upsert(wh, ORDERS, rows_of(spark, [(3, datetime(2026, 4, 4), datetime(2026, 10, 5), 99)]))
-        return put(name, changes, at)
+        return put(name, changes, at, before)
 
     monkeypatch.setattr(wh, "put_delta", overtaken)
     counts = upsert.upsert(wh, ORDERS, rows_of(spark, [(3, datetime(2026, 4, 4), datetime(2026, 10, 4), 1)]))
