@@ -250,15 +250,16 @@ def mark_messages(mapped: DataFrame) -> DataFrame:
     )
     order_ok, items_ok = F.col("rejected").isNull(), F.col("item_error").isNull()
 
-    def item_breach(item: Column) -> Column:
-        return contract_errors(ITEM_COLUMNS, ITEM_CHECKS, value=lambda c: item[c])
+    def judged(item: Column) -> Column:
+        breach = contract_errors(ITEM_COLUMNS, ITEM_CHECKS, value=lambda c: item[c])
+        return F.struct(item.alias("row"), breach.alias("breach"))
 
     def item_letter(item: Column) -> Column:
-        message = item_breach(item)
+        row, breach = item["row"], item["breach"]
         return F.when(
             F.col("rejected").isNotNull(),
-            _letter(ITEMS_TABLE, F.to_json(item), PARENT_REJECTED, F.concat(F.lit("order rejected: "), F.col("rejected"))),
-        ).when(message.isNotNull(), _letter(ITEMS_TABLE, F.to_json(item), SCHEMA_MISMATCH, message))
+            _letter(ITEMS_TABLE, F.to_json(row), PARENT_REJECTED, F.concat(F.lit("order rejected: "), F.col("rejected"))),
+        ).when(breach.isNotNull(), _letter(ITEMS_TABLE, F.to_json(row), SCHEMA_MISMATCH, breach))
 
     order_letter = F.when(
         F.col("order_error").isNotNull(),
@@ -268,27 +269,38 @@ def mark_messages(mapped: DataFrame) -> DataFrame:
         _letter(ORDERS_TABLE, F.to_json("order_row"), SCHEMA_MISMATCH, F.col("order_breach")),
     )
     items_letter = F.when(~items_ok, _letter(ITEMS_TABLE, F.col("value"), MAPPER_ERROR, F.col("item_error")))
-    item_letters = F.when(items_ok, F.transform("item_rows", item_letter)).otherwise(F.array(items_letter))
-    return checked.select(
+    item_letters = F.when(items_ok, F.transform("judged", item_letter)).otherwise(F.array(items_letter))
+    good = F.filter("judged", lambda i: i["breach"].isNull())
+    return checked.withColumn("judged", F.transform("item_rows", judged)).select(
         "shop_id", "platform", "copies",
         F.when(order_ok, F.col("order_row")).alias("order_row"),
-        F.when(order_ok & items_ok, F.filter("item_rows", lambda i: item_breach(i).isNull()))
+        F.when(order_ok & items_ok, F.transform(good, lambda i: i["row"]))
         .otherwise(F.slice("item_rows", 1, 0)).alias("item_rows"),
         F.array_compact(F.concat(F.array(order_letter), item_letters)).alias("letters"),
     )
 
 
+def _elements(marked: DataFrame, column: str, *beside: str) -> DataFrame:
+    """One row per struct of an array column.
+
+    The outer form, with its empty rows filtered after it: from the plain one the optimizer infers a
+    filter on the array's size, and computes the array once more for it right after the parse.
+    """
+    rows = marked.select(*beside, F.explode_outer(column).alias("_element"))
+    return rows.where(F.col("_element").isNotNull()).select(*beside, "_element.*")
+
+
 def accepted_orders(marked: DataFrame) -> DataFrame:
     return marked.where("order_row IS NOT NULL").select("order_row.*")
 
 
 def accepted_items(marked: DataFrame) -> DataFrame:
-    return marked.select(F.inline("item_rows"))
+    return _elements(marked, "item_rows")
 
 
 def letters_of(marked: DataFrame) -> DataFrame:
     """One row per dead letter, with the shop and platform it is counted under."""
-    return marked.select("shop_id", "platform", F.inline("letters"))
+    return _elements(marked, "letters", "shop_id", "platform")
 
 
 def dead_letter_rates(marked: DataFrame, limit: float) -> DataFrame:

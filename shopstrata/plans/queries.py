@@ -88,7 +88,7 @@ def map_orders(spark, d):
 
 @query
 def explode_items(spark, d):
-    return _without_text(_mapped(spark, d).where("item_error IS NULL").select(F.inline("item_rows")))
+    return _without_text(feed.accepted_items(_mapped(spark, d).where("item_error IS NULL")))
 
 
 @query

@@ -56,6 +56,12 @@ def test_scans_are_pruned_and_filters_pushed(spark):
     assert "PushedFilters: [IsNotNull(" in recent and "GreaterThanOrEqual(ts" in recent
 
 
+def test_letters_and_items_are_computed_once(spark):
+    for name in ("dead_letters", "accepted_items", "explode_items"):
+        for node in plan(spark, name).splitlines():
+            assert not ("Filter" in node and "size(" in node), name
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert "gmv_dod_pct" in df.columns and df.count() > 0
