@@ -214,7 +214,7 @@ def test_pipeline_decisions(spark, docs):
 
     stages = dict(corpus_pipeline.STAGES)
     first = cut(stages["language ID"](spark, docs, SF))
-    labelled = language_id.identify(docs).where("lang_pred <> 'und'")
+    labelled = language_id.identify(docs).where("lang_pred <> 'und' AND score >= 0.5")
     assert {r.doc_id for r in first.collect()} == {r.doc_id for r in labelled.collect()}
     second = cut(stages["quality rules"](spark, first, SF))
     assert {r.doc_id for r in second.collect()} == {r.doc_id for r in outliers.judge(first).where("kept").collect()}
@@ -227,6 +227,19 @@ def test_pipeline_decisions(spark, docs):
     assert {r.doc_id for r in whole.collect()} == set(fourth)
 
 
+def test_language_stage_rejects_texts_of_no_one_language(spark, docs):
+    from pyspark.sql import functions as F
+
+    longest = F.max_by("text", F.struct(F.length("text"), "doc_id")).alias("text")
+    parts = {r.lang: " ".join(r.text.split()[:60]) for r in docs.groupBy("lang").agg(longest).collect()}
+    mixed = "\n".join(parts[lang] for lang in ("de", "en", "es", "fr"))
+    added = {10_000_000 + i: text for i, text in enumerate([mixed, *parts.values()])}
+    rows = spark.createDataFrame(list(added.items()), "doc_id long, text string")
+    whole = docs.unionByName(rows, allowMissingColumns=True)
+    kept = dict(corpus_pipeline.STAGES)["language ID"](spark, whole, SF)
+    assert {r.doc_id for r in kept.where("doc_id >= 10000000").collect()} == set(added) - {10_000_000}
+
+
 def test_language_stage_without_labels_keeps_lettered_texts(spark, odd, odd_rows):
     from pyspark.sql import functions as F
 
