@@ -55,11 +55,16 @@ def fingerprint_numbers(texts: list[str], size: int = SHINGLE, seed: int = SEED)
         parts = shingles(text, size)
         counts[i] = len(parts)
         hashes.extend(map(xxhash.xxh64_intdigest, parts, repeat(seed)))
-    own = np.repeat(np.arange(len(texts)), counts) * 256
-    octets = np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8)
-    out = np.zeros(len(texts), np.uint64)
+    return majority_bits(np.array(hashes, "<u8"), counts)
+
+
+def majority_bits(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each run of ``counts`` hashes the bits that are set in over half of them."""
+    own = np.repeat(np.arange(len(counts)), counts) * 256
+    octets = hashes.view(np.uint8).reshape(-1, 8)
+    out = np.zeros(len(counts), np.uint64)
     for k in range(8):
-        seen = np.bincount(own + octets[:, k], minlength=256 * len(texts)).reshape(len(texts), 256)
+        seen = np.bincount(own + octets[:, k], minlength=256 * len(counts)).reshape(len(counts), 256)
         over = (2 * (seen @ BIT_OF_BYTE) > counts[:, None]).astype(np.uint8)
         out |= np.packbits(over, axis=1, bitorder="little")[:, 0].astype(np.uint64) << np.uint64(8 * k)
     return out
