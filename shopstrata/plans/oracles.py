@@ -459,6 +459,23 @@ SELECT table_name, shop_id, platform, watermark_value - INTERVAL '1' HOUR AS win
 SQL["window_row_counts"] = """
 SELECT shop_id, platform, COUNT(*) AS rows_in_window FROM ods_orders
 WHERE updated_at < TIMESTAMP '2001-07-31 23:55:00' GROUP BY shop_id, platform"""
+CTES["own_windows"] = """
+SELECT s.shop_id, s.platform,
+       COALESCE(MIN(CASE WHEN o.updated_at >= s.floor THEN o.updated_at END), ANY_VALUE(s.floor)) AS window_start,
+       COALESCE(MAX(CASE WHEN o.updated_at < s.ceiling THEN o.updated_at END), ANY_VALUE(s.ceiling)) AS window_end
+FROM (SELECT CAST(r_regionkey + 1 AS BIGINT) AS shop_id, platform,
+             MAKE_TIMESTAMP(1996, r_regionkey + 1, 1, 0, 0, 0) AS floor,
+             MAKE_TIMESTAMP(1998, 1, r_regionkey + 1, 0, 0, 0) AS ceiling
+      FROM region, (VALUES ('alpha'), ('beta')) p(platform)) s
+LEFT JOIN ods_orders o ON o.shop_id = s.shop_id AND o.platform = s.platform
+GROUP BY s.shop_id, s.platform"""
+CTES["own_window_stats"] = """
+SELECT w.shop_id, w.platform, COUNT(o.order_id) AS n, COUNT(o.order_id) - COUNT(o.buyer_nick) AS nulls,
+       MIN(o.order_amount_cents) AS least, MAX(o.order_amount_cents) AS most, MAX(o.updated_at) AS newest
+FROM own_windows w LEFT JOIN ods_orders o ON o.shop_id = w.shop_id AND o.platform = w.platform
+     AND o.updated_at >= w.window_start AND o.updated_at < w.window_end
+GROUP BY w.shop_id, w.platform"""
+SQL["window_row_counts_own"] = "SELECT shop_id, platform, n AS rows_in_window FROM own_window_stats"
 SQL["rule_sync"] = """
 SELECT 'dw.ods_order_items' AS table_name, 'range' AS rule_type,
        '{"column":"price_cents","max":' || CAST(ROUND(p_retailprice * 100) AS BIGINT) || ',"min":0,"part":"'
@@ -576,6 +593,24 @@ CTES["verdicts"] = _union(
     _range(6, "dw.ods_order_items", "warn", 1, 10000, **_BY_SHOP) + "FROM items_in_span",
     _referential(7, "ods_orders"),
 )
+_OWN = {"shop": "shop_id", "platform": "platform"}
+
+
+def _own_windows(verdict: str, check: int, rule: str, severity: str, expected: str, why: str) -> str:
+    """The verdicts of shops with rows, and passes with a note for those without."""
+    empty = _verdict(check, "dw.ods_orders", rule, severity, "TRUE", "'-'", expected, f"'skipped: {why}'", **_OWN)
+    return _union(verdict + "FROM own_window_stats WHERE n > 0", empty + "FROM own_window_stats WHERE n = 0")
+
+
+SQL["dq_own_windows"] = _union(
+    _own_windows(_null_rate(1, 0.01, **_OWN), 1, "null_rate", "block", "<= 0.01", "no rows"),
+    _own_windows(
+        _range(2, "dw.ods_orders", "warn", 0, 49900000, **_OWN), 2, "range", "warn", "[0, 49900000]", "all values are NULL"
+    ),
+    _own_windows(
+        _freshness(3, "warn", "2001-08-01 00:00:00", 1882200, **_OWN), 3, "freshness", "warn", "<= 1882200 minutes", "no rows"
+    ),
+)
 SQL["dq_run_all"] = "SELECT * FROM verdicts"
 SQL["dq_failures_by_severity"] = """
 SELECT severity, COUNT(*) AS failures, CASE WHEN severity = 'block' THEN 1 ELSE 0 END AS blocked

@@ -424,6 +424,33 @@ def window_row_counts(spark, d):
     return windows.window_row_counts(sample.ods_orders(spark, d), spans)
 
 
+def own_windows(spark, d):
+    """A window of its own for every shop and platform, half of which have no orders.
+
+    Where a shop has orders both ends are update times of orders: the first counts, the last does not.
+    """
+    shops = sample.read(spark, d, "region").select(
+        (F.col("r_regionkey") + 1).cast("bigint").alias("shop_id"), F.explode(F.array(F.lit("alpha"), F.lit("beta"))).alias("platform")
+    )
+    start = F.make_timestamp_ntz(F.lit(1996), F.col("shop_id"), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    end = F.make_timestamp_ntz(F.lit(1998), F.lit(1), F.col("shop_id"), F.lit(0), F.lit(0), F.lit(0))
+    orders = sample.ods_orders(spark, d)
+    ends = orders.groupBy("shop_id", "platform").agg(
+        F.min(F.when(F.col("updated_at") >= start, F.col("updated_at"))).alias("_first"),
+        F.max(F.when(F.col("updated_at") < end, F.col("updated_at"))).alias("_last"),
+    )
+    return shops.join(ends, ["shop_id", "platform"], "left").select(
+        "shop_id", "platform",
+        F.coalesce("_first", start).alias("window_start"), F.coalesce("_last", end).alias("window_end"),
+    )
+
+
+@query
+def window_row_counts_own(spark, d):
+    """Rows inside each shop's own window; shops without rows count 0."""
+    return windows.window_row_counts(sample.ods_orders(spark, d), own_windows(spark, d))
+
+
 @query
 def rule_sync(spark, d):
     return quality.sync_rules(sample.rule_defs(spark, d), sample.rule_specs(spark, d))
@@ -504,6 +531,19 @@ def dq_referential(spark, d):
     return quality.run_checks(tables, rules, now=ORDERS_NOW)
 
 
+@query
+def dq_own_windows(spark, d):
+    """Rules over each shop's own window; shops without rows pass with a note."""
+    rules = [
+        quality.Rule(ORDERS, "null_rate", {"column": "buyer_nick", "max_rate": 0.01}, "block", 1),
+        quality.Rule(ORDERS, "range", {"column": "order_amount_cents", "min": 0, "max": 49900000}, "warn", 2),
+        quality.Rule(ORDERS, "freshness", {"column": "updated_at", "max_age_minutes": 1882200}, "warn", 3),
+    ]
+    return quality.run_checks(
+        {ORDERS: sample.ods_orders(spark, d)}, rules, now=ORDERS_NOW, windows=own_windows(spark, d)
+    )
+
+
 def _verdicts(spark, d):
     orders = sample.ods_orders(spark, d)
     shops = orders.groupBy("shop_id", "platform").agg(F.count(F.lit(1)).alias("rows_read"))
