@@ -12,6 +12,11 @@ BUSINESS_ZONE = "Asia/Shanghai"
 # The ISO date-time shapes the feed may use, with and without an offset.
 _ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 _OFFSET = r"\d{2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$"
+# The other shapes of ISO 8601: compact dates and times, hours alone, commas, long fractions, short offsets.
+_LOOSE = (
+    r"^(\d{4})(-?)(\d{2})\2(\d{2})(?:[Tt_ ](\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d{1,6})\d*)?)?)?"
+    r"(?:(Z)|([+-]\d{2})(?::?(\d{2}))?)?)?$"
+)
 _EPOCH = datetime(1970, 1, 1)
 
 
@@ -26,14 +31,30 @@ def parse_iso(text: Column) -> Column:
     A value with an offset is an instant and is converted to business time.  The result
     does not depend on the session time zone.
     """
-    instant = F.timestamp_add("MICROSECOND", F.unix_micros(text.try_cast("timestamp")), wall(_EPOCH))
-    local = F.convert_timezone(F.lit("UTC"), F.lit(BUSINESS_ZONE), instant)
-    return F.when(
-        text.rlike(_ISO),
-        F.when(text.rlike(_OFFSET), local).otherwise(text.try_cast("timestamp_ntz")),
+    loose = _spelled_out(text)
+    return (
+        F.when(text.rlike(_ISO), F.when(text.rlike(_OFFSET), _local(text)).otherwise(text.try_cast("timestamp_ntz")))
+        .when(text.rlike(_LOOSE), F.when(loose.rlike(_OFFSET), _local(loose)).otherwise(loose.try_cast("timestamp_ntz")))
     )
 
 
+def _local(text: Column) -> Column:
+    instant = F.timestamp_add("MICROSECOND", F.unix_micros(text.try_cast("timestamp")), wall(_EPOCH))
+    return F.convert_timezone(F.lit("UTC"), F.lit(BUSINESS_ZONE), instant)
+
+
+def _spelled_out(text: Column) -> Column:
+    """A time of one of the other shapes with all its parts and signs between them."""
+
+    def part(group: int, missing: str = "00") -> Column:
+        found = F.regexp_extract(text, _LOOSE, group)
+        return F.when(found == "", F.lit(missing)).otherwise(found)
+
+    zone = F.when(part(11, "") == "", part(10, "")).otherwise(F.concat(part(11), F.lit(":"), part(12)))
+    day = F.concat_ws("-", part(1), part(3), part(4))
+    return F.concat(day, F.lit(" "), F.concat_ws(":", part(5), part(7), part(8)), F.lit("."), part(9, "0"), zone)
+
+
 def business_date(created_at: Column, updated_at: Column) -> Column:
     """Day of the order; the update time stands in when the creation time is missing."""
     return F.to_date(F.coalesce(created_at, updated_at))

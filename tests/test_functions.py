@@ -72,6 +72,20 @@ def test_iso_times_become_business_time(spark):
     assert values(spark, texts, parse_iso) == want
 
 
+def test_other_iso_shapes(spark):
+    wanted = {
+        "20260901": datetime(2026, 9, 1), "20260901T080102": datetime(2026, 9, 1, 8, 1, 2),
+        "2026-09-01T08": datetime(2026, 9, 1, 8), "2026-09-01T0801": datetime(2026, 9, 1, 8, 1),
+        "2026-09-01T08:01:02,5": datetime(2026, 9, 1, 8, 1, 2, 500000),
+        "2026-09-01T08:01:02.123456789": datetime(2026, 9, 1, 8, 1, 2, 123456),
+        "2026-09-01T08+05": datetime(2026, 9, 1, 11), "20260901T080102Z": datetime(2026, 9, 1, 16, 1, 2),
+        "2026-09-01T08:01:02.1234567-0130": datetime(2026, 9, 1, 17, 31, 2, 123456),
+        "2026-0901": None, "202609-01": None, "2026-09-01T08:0102": None, "2026-09-01T25": None, "20261301": None,
+        "2026-09-01T08:01:02.": None, "2026-09-01Z": None, "20260901T08:01+5": None, "2026090108": None, "": None,
+    }
+    assert dict(zip(wanted, values(spark, list(wanted), parse_iso))) == wanted
+
+
 def test_minutes_and_canonical_json(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ'2026-01-01 00:00:00' a, TIMESTAMP_NTZ'2026-01-01 00:02:59' b")
     assert df.select(minutes_between(F.col("a"), F.col("b"))).first()[0] == 2
