@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 BUSINESS_ZONE = "Asia/Shanghai"
 
-# The ISO date-time shapes the feed may use, with and without an offset.
+# The ISO date-time shapes the feed may use, without and with an offset.
+_PLAIN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,6})?)?)?$"
 _ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 _OFFSET = r"\d{2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$"
 # The other shapes of ISO 8601: compact dates and times, hours alone, commas, long fractions, short offsets.
@@ -31,11 +32,22 @@ def parse_iso(text: Column) -> Column:
     A value with an offset is an instant and is converted to business time.  The result
     does not depend on the session time zone.
     """
-    loose = _spelled_out(text)
-    return (
-        F.when(text.rlike(_ISO), F.when(text.rlike(_OFFSET), _local(text)).otherwise(text.try_cast("timestamp_ntz")))
-        .when(text.rlike(_LOOSE), F.when(loose.rlike(_OFFSET), _local(loose)).otherwise(loose.try_cast("timestamp_ntz")))
-    )
+    others = F.get(F.transform(F.array(text), _other_shape), F.lit(0))
+    return F.when(text.rlike(_PLAIN), text.try_cast("timestamp_ntz")).when(text.isNotNull(), others)
+
+
+def _other_shape(text: Column) -> Column:
+    """Times with an offset or of another shape.
+
+    The steps stand in functions of an array's element: written out in the row's own code they make
+    methods that the JVM does not compile, or that Spark cannot generate at all (64 KB).
+    """
+    spelled = F.when(text.rlike(_ISO), text).when(text.rlike(_LOOSE), _spelled_out(text))
+
+    def instant(t: Column) -> Column:
+        return F.when(t.rlike(_OFFSET), _local(t)).otherwise(t.try_cast("timestamp_ntz"))
+
+    return F.get(F.transform(F.array(spelled), instant), F.lit(0))
 
 
 def _local(text: Column) -> Column:
