@@ -83,12 +83,12 @@ def yuan_to_cents(spark, d):
 
 @query
 def map_orders(spark, d):
-    return _without_text(_mapped(spark, d).where("order_error IS NULL").select("order_row.*"))
+    return _without_text(feed.mapped_orders(_mapped(spark, d)))
 
 
 @query
 def explode_items(spark, d):
-    return _without_text(feed.accepted_items(_mapped(spark, d).where("item_error IS NULL")))
+    return _without_text(feed.mapped_items(_mapped(spark, d)))
 
 
 @query
