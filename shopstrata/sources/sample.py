@@ -186,7 +186,10 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     def fault(every: int) -> Column:
         return (F.col("k") > 0) & (F.col("k") % every == 0)
 
-    items = ods_items(spark, sf_dir).groupBy("order_id").agg(
+    from ..operators.merge import latest_by_key
+
+    dealt = ods_items_feed(spark, sf_dir).repartition("order_id")  # once, for repeats, lists and the join
+    items = latest_by_key(dealt, ITEM_KEY, "updated_at", ITEM_TIES).groupBy("order_id").agg(
         F.sort_array(
             F.collect_list(
                 F.struct("item_id", "product_id", "product_name", "quantity", _yuan(F.col("price_cents")).alias("price"))
