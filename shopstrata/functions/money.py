@@ -6,10 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: an amount whose digits without the point are its cents.
+_TWO_DECIMALS = r"^[0-9]{1,16}[.][0-9]{2}\z"
+
+
 def to_cents(yuan: Column) -> Column:
-    """Decimal text in yuan -> whole cents, halves to even; NULL when it is no amount."""
+    """Decimal text in yuan -> whole cents, halves to even; NULL when it is no amount.
+
+    Decimals of 38 digits are slow, so text with just two decimals goes without them.
+    """
     exact = yuan.try_cast("decimal(38,18)")
-    return (F.bround(exact, 2) * 100).try_cast("bigint")
+    rounded = (F.bround(exact, 2) * 100).try_cast("bigint")
+    digits = F.replace(yuan, F.lit("."), F.lit(""))
+    return F.when(yuan.rlike(_TWO_DECIMALS), digits.try_cast("bigint")).otherwise(rounded)
 
 
 def int_div(a: Column, b: Column) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,10 @@ class Check:
             out.append(F.when(~self.test(c), shown))
         return out
 
+    def broken(self, c: Column) -> Column:
+        """Whether there is a message; NULL counts as none."""
+        return c.isNull() if self.test is None else c.isNull() | ~self.test(c)
+
 
 def _not_negative(c: Column) -> Column:
     return c >= 0
@@ -80,6 +86,15 @@ def contract_errors(
     return join_messages(*per_row, *shape)
 
 
+def breaks_contract(
+    columns: Sequence[str], checks: Sequence[Check], *, value: Callable[[str], Column] = F.col
+) -> Column:
+    """Whether ``contract_errors`` has a message, without writing any."""
+    if {c.column for c in checks} != set(columns):
+        return F.lit(True)
+    return F.coalesce(reduce(or_, [check.broken(value(check.column)) for check in checks]), F.lit(False))
+
+
 def contract_split(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, DataFrame]:
     """(good rows unchanged, bad rows with ``error_msg``)."""
     marked = df.withColumn("error_msg", contract_errors(df.columns, checks))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clip, join_messages, parse_iso, to_cents
-from .contracts import ITEM_CHECKS, ORDER_CHECKS, contract_errors
+from .contracts import ITEM_CHECKS, ORDER_CHECKS, breaks_contract, contract_errors
 from .deadletters import COUNTED, MAPPER_ERROR, PARENT_REJECTED, SCHEMA_MISMATCH
 
 ORDERS_TABLE, ITEMS_TABLE = "dw.ods_orders", "dw.ods_order_items"
@@ -148,7 +148,11 @@ def _quantity(text: Column, item: Column) -> Column:
     """
     whole = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
     number = F.when(whole | ~item.rlike(r'"quantity"\s*:\s*"'), text.try_cast("decimal(20,6)").try_cast("int"))
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0)).otherwise(number)
+    return (
+        F.when(text.rlike(r"^[0-9]{1,9}\z"), text.try_cast("int"))  # nearly all of them, without a decimal
+        .when(F.coalesce(text, F.lit("")) == "", F.lit(0))
+        .otherwise(number)
+    )
 
 
 def map_messages(messages: DataFrame, batch_id: str) -> DataFrame:
@@ -243,12 +247,15 @@ def mark_messages(mapped: DataFrame) -> DataFrame:
 
     ``order_row`` is NULL when the order is rejected, ``item_rows`` holds accepted items
     only.  Items of a rejected order are set aside as well, each with its parent's reason.
+    Reasons are written, item by item, only in messages that have something to set aside.
     """
     breach = contract_errors(ORDER_COLUMNS, ORDER_CHECKS, value=lambda c: F.col("order_row")[c])
     checked = mapped.withColumn("order_breach", F.when(F.col("order_error").isNull(), breach)).withColumn(
         "rejected", F.coalesce("order_error", "order_breach")
     )
     order_ok, items_ok = F.col("rejected").isNull(), F.col("item_error").isNull()
+    broken = F.exists("item_rows", lambda i: breaks_contract(ITEM_COLUMNS, ITEM_CHECKS, value=lambda c: i[c]))
+    some = F.col("some")
 
     def judged(item: Column) -> Column:
         breach = contract_errors(ITEM_COLUMNS, ITEM_CHECKS, value=lambda c: item[c])
@@ -271,12 +278,15 @@ def mark_messages(mapped: DataFrame) -> DataFrame:
     items_letter = F.when(~items_ok, _letter(ITEMS_TABLE, F.col("value"), MAPPER_ERROR, F.col("item_error")))
     item_letters = F.when(items_ok, F.transform("judged", item_letter)).otherwise(F.array(items_letter))
     good = F.filter("judged", lambda i: i["breach"].isNull())
-    return checked.withColumn("judged", F.transform("item_rows", judged)).select(
+    return checked.withColumn("some", ~order_ok | ~items_ok | broken).withColumn(
+        "judged", F.when(some, F.transform("item_rows", judged))
+    ).select(
         "shop_id", "platform", "copies",
         F.when(order_ok, F.col("order_row")).alias("order_row"),
-        F.when(order_ok & items_ok, F.transform(good, lambda i: i["row"]))
+        F.when(~some, F.col("item_rows"))
+        .when(order_ok & items_ok, F.transform(good, lambda i: i["row"]))
         .otherwise(F.slice("item_rows", 1, 0)).alias("item_rows"),
-        F.array_compact(F.concat(F.array(order_letter), item_letters)).alias("letters"),
+        F.when(some, F.array_compact(F.concat(F.array(order_letter), item_letters))).otherwise(F.array()).alias("letters"),
     )
 
 
