@@ -21,19 +21,20 @@ KEY_HASH = "_key_hash"
 
 def latest_by_key(
     df: DataFrame, keys: Sequence[str], ts: str = "updated_at", tie_break: Sequence[str] = (),
-    *, keep_hash: bool = False,
+    *, keep_hash: bool = False, lead: str | None = None,
 ) -> DataFrame:
     """One row per key: the newest ``ts``; a missing time loses to any time.
 
     Ties are decided by ``tie_break`` (descending), then by a hash of the row, so a task
-    that is run again after an executor loss picks the same row.
+    that is run again after an executor loss picks the same row.  ``lead``: a column that follows
+    from the key, to deal and sort rows by in place of the key's hash.
     """
-    rest = [c for c in df.columns if c not in keys and c != ts and c not in tie_break]
+    rest = [c for c in df.columns if c not in keys and c not in (ts, lead) and c not in tie_break]
     order = [F.col(c).desc_nulls_last() for c in (ts, *tie_break)]
     if rest:
         order.append(F.xxhash64(*rest).desc())
-    newest = Window.partitionBy(KEY_HASH, *keys).orderBy(*order)
-    hashed = df.withColumn(KEY_HASH, F.xxhash64(*keys))
+    newest = Window.partitionBy(lead or KEY_HASH, *keys).orderBy(*order)
+    hashed = df if lead else df.withColumn(KEY_HASH, F.xxhash64(*keys))
     best = hashed.withColumn("_nth", F.row_number().over(newest)).where("_nth = 1").drop("_nth")
     return best if keep_hash else best.drop(KEY_HASH)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import date, datetime
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import to_cents
@@ -86,15 +86,21 @@ def product_id(part: Column) -> Column:
 
 def ods_items_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items as they arrive, with repeated keys."""
+    return _numbered_items(spark, sf_dir).drop("number")
+
+
+def _numbered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with the ``number`` of their order; the join with orders is the last, so rows are dealt by it."""
     lines = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"
     )
     parts = read(spark, sf_dir, "part").select("p_partkey", "p_name")
     heads = order_heads(spark, sf_dir).select("o_orderkey", "shop_id", "platform")
-    joined = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
+    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
+        heads, F.col("l_orderkey") == F.col("o_orderkey")
     )
     return joined.select(
+        F.col("l_orderkey").alias("number"),
         "shop_id",
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").cast("string").alias("item_id"),
@@ -181,22 +187,21 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     id, % 317 first item without quantity, % 337 first item with an unreadable price,
     % 331 sent twice, the second time an hour later with one yuan more paid.
     """
-    number = F.col("order_id").cast("bigint")
-
     def fault(every: int) -> Column:
         return (F.col("k") > 0) & (F.col("k") % every == 0)
 
     from ..operators.merge import latest_by_key
 
-    dealt = ods_items_feed(spark, sf_dir).repartition("order_id")  # once, for repeats, lists and the join
-    items = latest_by_key(dealt, ITEM_KEY, "updated_at", ITEM_TIES).groupBy("order_id").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct("item_id", "product_id", "product_name", "quantity", _yuan(F.col("price_cents")).alias("price"))
-            )
-        ).alias("lines")
+    # Rows stay dealt and sorted by the number of their order from the join on; an aggregation of lists would sort them twice more.
+    latest = latest_by_key(_numbered_items(spark, sf_dir), ITEM_KEY, "updated_at", ITEM_TIES, lead="number")
+    of_order = Window.partitionBy("number").orderBy(*ITEM_KEY)
+    all_rows = of_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    each = F.struct("item_id", "product_id", "product_name", "quantity", _yuan(F.col("price_cents")).alias("price"))
+    listed = latest.select("number", *ITEM_KEY, each.alias("line")).select(
+        "number", F.collect_list("line").over(all_rows).alias("lines"), F.row_number().over(of_order).alias("nth")
     )
-    line = F.transform(
+    items = listed.where("nth = 1").select("number", F.sort_array("lines").alias("lines"))
+    faulty = F.transform(
         "lines",
         lambda x, i: F.struct(
             x["item_id"].alias("item_id"),
@@ -206,6 +211,7 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(fault(337) & (i == 0), "free").otherwise(x["price"]).alias("price"),
         ),
     )
+    line = F.when(fault(317) | fault(337), faulty).otherwise(F.col("lines"))
     copies = F.when(fault(331), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     zoned = F.col("k") % 7 == 0
     message = F.struct(
@@ -223,8 +229,8 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         ods_orders(spark, sf_dir)
-        .join(items, "order_id", "left")
-        .withColumn("k", number)
+        .withColumn("k", F.col("order_id").cast("bigint"))
+        .join(items, F.col("k") == F.col("number"), "left")
         .withColumn("copy", F.explode(copies))
         .select("platform", F.col("shop_id").alias("source_shop_id"), F.to_json(message).alias("value"))
     )
